@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tandem.functions.text import clean_text
+from tandem.functions.text import EDGE_CHARS
 
 
 def parse_date(value: Column) -> Column:
     """Zone-free timestamp from ``yyyy-MM-dd HH:mm:ss``, ``yyyy-MM-dd`` or ``dd/MM/yyyy``; else null."""
-    text = clean_text(value)
+    text = F.btrim(value, F.lit(EDGE_CHARS))
     shape = F.translate(text, "123456789", "000000000")
     turned = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
     iso = F.when(shape.isin("0000-00-00 00:00:00", "0000-00-00"), text).when(shape == "00/00/0000", turned)

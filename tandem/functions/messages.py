@@ -25,14 +25,18 @@ def to_message(df: DataFrame, key: str, zero_when_missing: tuple[str, ...] = ())
 def from_message(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Columns of ``schema`` plus the raw text of any message that does not fit it.
 
-    Bad JSON and a badly typed field both land in the corrupt column, so neither turns into a silent row
-    of nulls.
+    Bad JSON, a badly typed field and an empty message all land in the corrupt column, so none turns into a
+    silent row of nulls.
     """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed: Column = F.from_json(
         F.col(value).cast("string"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return df.select(parsed.alias("message")).select("message.*")
+    text = F.coalesce(F.col(value).cast("string"), F.lit(""))
+    unread = F.when(F.col("message").isNull(), F.col("text")).otherwise(F.col(f"message.{CORRUPT}"))
+    return df.select(parsed.alias("message"), text.alias("text")).select(
+        *(F.col(f"message.{c}") for c in schema.names), unread.alias(CORRUPT)
+    )
 
 
 def good_messages(parsed: DataFrame) -> DataFrame:

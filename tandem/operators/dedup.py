@@ -1,8 +1,12 @@
 """Duplicate removal with a stated survivor.
 
-A key that holds a large part of the table is no bottleneck here: the row-number filter is turned by Spark
-into a limit per key on the map side, before the shuffle, and the rows left out are found by a multiset
-difference whose counts are combined on the map side too. No task ever receives all rows of one key.
+The order that picks the survivor covers whole rows, so the result does not depend on partitioning, and rows
+that tie are identical. No task ever receives all rows of one key, however many rows share it:
+
+- ``keep_first`` filters on a row number, which Spark turns into a limit per key on the map side, before the
+  shuffle.
+- ``mark_repeats`` ranks the rows of a key within their input partition first. Only the first row of each
+  partition meets those of the others; every other row is known to be a repeat by then.
 """
 
 from __future__ import annotations
@@ -11,11 +15,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_RANK = "_rank"
+_RANK, _PART, _GROUP, _FIRST = "_rank", "_part", "_group", "_first"
+REPEAT = "doublon"
+
 
+def _keys(df: DataFrame, names: Sequence[str], ignore_case: bool) -> list[Column]:
+    types = dict(df.dtypes)
+    return [F.lower(F.col(n)) if ignore_case and types[n] == "string" else F.col(n) for n in names]
 
-def _key(df: DataFrame, name: str, ignore_case: bool) -> Column:
-    return F.lower(F.col(name)) if ignore_case and dict(df.dtypes)[name] == "string" else F.col(name)
+
+def _whole_row(df: DataFrame, order_by: Sequence[str | Column]) -> list[str | Column]:
+    named = {c for c in order_by if isinstance(c, str)}
+    return [*order_by, *(c for c in df.columns if c not in named)]
 
 
 def keep_first(
@@ -24,40 +35,67 @@ def keep_first(
     order_by: Sequence[str | Column] = (),
     ignore_case: bool = False,
 ) -> DataFrame:
-    """One row per key: the first in ``order_by``, ties broken by the other columns.
-
-    The order covers whole rows, so the survivor does not depend on partitioning. Null keys are equal.
-    """
-    named = {c for c in order_by if isinstance(c, str)}
-    order = [*order_by, *(c for c in df.columns if c not in named)]
-    ranked = Window.partitionBy(*(_key(df, k, ignore_case) for k in keys)).orderBy(*order)
+    """One row per key: the first in ``order_by``, ties broken by the other columns. Null keys are equal."""
+    ranked = Window.partitionBy(*_keys(df, keys, ignore_case)).orderBy(*_whole_row(df, order_by))
     return df.withColumn(_RANK, F.row_number().over(ranked)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def split_duplicates(
+def mark_repeats(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str | Column] = (),
     ignore_case: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """(first row per key, every later row). Together they hold exactly the rows of ``df``."""
-    kept = keep_first(df, keys, order_by, ignore_case)
-    return kept, df.exceptAll(kept)
+    nulls_differ: bool = False,
+) -> DataFrame:
+    """``df`` plus the column ``doublon``: false for the first row of each key, true for every later one.
 
+    With ``nulls_differ`` a row that lacks a key repeats nothing. The partition a row is read in is the same
+    whenever a task is run again, so marks survive a lost executor.
+    """
+    key, order = _keys(df, keys, ignore_case), _whole_row(df, order_by)
+    known = F.lit(True)
+    if nulls_differ:
+        for k in keys:
+            known = known & F.col(k).isNotNull()
 
-def merge_sources(
-    df: DataFrame,
-    on: str,
-    priority: Sequence[str],
-    then_by: Sequence[str] = (),
-    source: str = "source",
+    within = Window.partitionBy(*key, _PART).orderBy(*order)
+    across = Window.partitionBy(*key, _GROUP).orderBy(*order)
+    ranked = (
+        df.withColumn(_PART, F.spark_partition_id())
+        .withColumn(_FIRST, F.row_number().over(within) == 1)
+        .withColumn(_GROUP, F.when(F.col(_FIRST) & known, F.lit(-1)).otherwise(F.col(_PART)))
+        .withColumn(_RANK, F.row_number().over(across))
+    )
+    survives = ~known | (F.col(_FIRST) & (F.col(_RANK) == 1))
+    return ranked.select(*df.columns, (~survives).alias(REPEAT))
+
+
+def split_duplicates(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = (), ignore_case: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Duplicates between sources: (survivors, rows dropped).
+    """(first row per key, every later row). Together they hold exactly the rows of ``df``.
+
+    To write both, ``mark_repeats`` and one write partitioned by the mark reads the input only once.
+    """
+    marked = mark_repeats(df, keys, order_by, ignore_case)
+    return keep_first(df, keys, order_by, ignore_case), marked.filter(F.col(REPEAT)).drop(REPEAT)
+
 
-    Rows agree when ``on`` is equal without regard to case; the source named first in ``priority`` wins.
-    Rows without a value in ``on`` say nothing about identity: all survive, and they never meet in a shuffle.
+def mark_merged(
+    df: DataFrame, on: str, priority: Sequence[str], then_by: Sequence[str] = (), source: str = "source"
+) -> DataFrame:
+    """Mark the duplicates between sources: rows that agree in ``on``, without regard to case.
+
+    The source named first in ``priority`` survives. Rows without a value in ``on`` all do, since nothing
+    says whom they stand for.
     """
     rank = F.array_position(F.array(*(F.lit(p) for p in priority)), F.col(source))
-    known = df.filter(F.col(on).isNotNull())
-    kept, dropped = split_duplicates(known, [on], [rank, *then_by])
-    return kept.unionByName(df.filter(F.col(on).isNull())), dropped
+    return mark_repeats(df, [on], [rank, *then_by], nulls_differ=True)
+
+
+def merge_sources(
+    df: DataFrame, on: str, priority: Sequence[str], then_by: Sequence[str] = (), source: str = "source"
+) -> tuple[DataFrame, DataFrame]:
+    """Duplicates between sources: (survivors, rows dropped)."""
+    marked = mark_merged(df, on, priority, then_by, source)
+    return marked.filter(~F.col(REPEAT)).drop(REPEAT), marked.filter(F.col(REPEAT)).drop(REPEAT)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,10 +11,20 @@ _HOT, _SALT, _ROWS = "_hot", "_salt", "_rows"
 
 
 def hot_keys(keys: DataFrame, on: str, share: float, at_least: int) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: never more than ``1 / share`` of them."""
-    counts = keys.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias(_ROWS))
-    total = counts.agg(F.coalesce(F.sum(_ROWS), F.lit(0))).scalar()
-    return counts.filter(F.col(_ROWS) >= F.greatest(F.lit(at_least), total * share)).select(on)
+    """Keys that hold at least ``share`` of all rows: never more than ``1 / share`` of them.
+
+    One pass with a frequency sketch of fixed size per task, so the keys themselves are not shuffled. The
+    sketch tracks ten times as many keys as can reach the share, which is enough not to miss one; a key
+    missed or listed for nothing would change the balance of the join, not its result.
+    """
+    most = ceil(1 / share)
+    top = keys.filter(F.col(on).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{on}`, {most}, {10 * most})").alias("top"), F.count("*").alias(_ROWS)
+    )
+    enough = F.greatest(F.lit(at_least), F.col(_ROWS) * share)
+    return top.select(F.explode("top").alias("top"), enough.alias("enough")).filter(
+        F.col("top.count") >= F.col("enough")
+    ).select(F.col("top.item").alias(on))
 
 
 def attach(

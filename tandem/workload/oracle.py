@@ -290,8 +290,8 @@ SELECT source, CASE source WHEN 'A' THEN sinistre_id
   ELSE sinistre_id + (SELECT max(sinistre_id) FROM fused_claims WHERE source = 'A') END AS sinistre_id, contrat_id
 FROM fused_claims""",
     "merged_clients": """
-SELECT *, CASE WHEN email IS NULL OR row_number() OVER (PARTITION BY lower(email) ORDER BY source, client_id) = 1
-  THEN 'garde' ELSE 'fusionne' END AS sortie FROM fused_clients""",
+SELECT *, email IS NOT NULL AND row_number() OVER (PARTITION BY lower(email) ORDER BY source, client_id) > 1
+  AS doublon FROM fused_clients""",
     "prepared_clients": """
 SELECT client_id, nom_prenom, date_naissance, email, telephone, statut_client, date_creation, loyalty_score
 FROM (""" + _first("tidy_clients", "client_id", CLIENTS, ORDER["clients"]) + ")",
@@ -454,9 +454,9 @@ def _ranked(table: str, source: str) -> str:
 
 for _name, _key in _SOURCE_KEYS.items():
     _TEMPLATES[f"split_{_name}"] = (
-        f"SELECT * EXCLUDE (rn), CASE rn WHEN 1 THEN 'unique' ELSE 'doublon' END AS sortie "
-        f"FROM ({_ranked(_name, 'clean')})"
+        f"SELECT * EXCLUDE (rn), rn > 1 AS doublon FROM ({_ranked(_name, 'clean')})"
     )
+_TEMPLATES["repeated_claims"] = f"SELECT * EXCLUDE (rn) FROM ({_ranked('A_claims', 'clean')}) WHERE rn > 1"
 _TEMPLATES["duplicate_counts"] = " UNION ALL ".join(
     f"SELECT '{name}' AS \"table\", count(DISTINCT lower({_SOURCE_KEYS[t]})) AS nb_uniques, "
     f"count(*) - count(DISTINCT lower({_SOURCE_KEYS[t]})) AS nb_doublons FROM raw_{t}"
@@ -503,7 +503,7 @@ for _name, _cols in COLUMNS.items():
     _TEMPLATES[f"messages_{_name}"] = _messages(f"out_{_name}", _cols)
 _TEMPLATES["messages_with_zero_premiums"] = _messages("out_zero_contracts", CONTRACTS)
 _TEMPLATES["publish_control"] = " UNION ALL ".join(
-    f"SELECT 'assurance.{e}.v1' AS topic, count(*) AS tentes, count(*) AS reussis, 0 AS echoues FROM fused_{t}"
+    f"SELECT 'assurance.{e}.v1' AS topic, count(*) AS tentes, count(*) AS reussis, count(*) - count(*) AS echoues FROM fused_{t}"
     for t, e in (("clients", "clients"), ("contracts", "contrats"), ("payments", "paiements"),
                  ("claims", "sinistres"))
 )

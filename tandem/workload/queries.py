@@ -211,8 +211,7 @@ def claim_number_offset(spark, sf):
 def _split_query(table: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         rows = fuse.clean_source(raw(spark, sf, table), table)
-        kept, repeats = dedup.split_duplicates(rows, [fuse.KEYS[table]])
-        return _tagged({"unique": kept, "doublon": repeats}, "sortie")
+        return dedup.mark_repeats(rows, [fuse.KEYS[table]])
 
     return run
 
@@ -231,9 +230,15 @@ for _t in ENTITIES:
 
 @query
 def merged_clients(spark, sf):
-    """Clients found in both companies by e-mail address: survivors and rows dropped."""
-    kept, dropped = dedup.merge_sources(fused(spark, sf, "clients"), "email", ["A", "B"], ["client_id"])
-    return _tagged({"garde": kept, "fusionne": dropped}, "sortie")
+    """Clients found in both companies by e-mail address: survivors and rows dropped, told apart."""
+    return dedup.mark_merged(fused(spark, sf, "clients"), "email", ["A", "B"], ["client_id"])
+
+
+@query
+def repeated_claims(spark, sf):
+    """The rejects of the duplicate split: every claim of A after the first with its number."""
+    rows = fuse.clean_source(raw(spark, sf, "A_claims"), "A_claims")
+    return dedup.split_duplicates(rows, [fuse.KEYS["A_claims"]])[1]
 
 
 @query
