@@ -1,8 +1,8 @@
 """Dates delivered as text.
 
-The shape of a value (its digits replaced by 0) decides which of the three known forms it has. The cast
-then checks the calendar, so no date pattern is parsed and no exception is raised per bad row. Times carry
-no zone, so results do not depend on the session zone.
+The separators of a value tell which of the three known forms it has; the cast then checks digits and
+calendar. No date pattern is parsed and no exception is raised per bad row. Times carry no zone, so results
+do not depend on the session zone.
 """
 
 from __future__ import annotations
@@ -12,12 +12,30 @@ from pyspark.sql import Column, functions as F
 from tandem.functions.text import EDGE_CHARS
 
 
+def _at(text: Column, **places: str) -> Column:
+    """Whether the characters stand at the places, given as ``p5="-"``."""
+    found = F.lit(True)
+    for place, char in places.items():
+        found = found & (F.substring(text, int(place[1:]), 1) == char)
+    return found
+
+
+def _is_iso(text: Column) -> Column:
+    """Separators of ``yyyy-MM-dd`` or ``yyyy-MM-dd HH:mm:ss``, and a digit at the end."""
+    day = _at(text, p5="-", p8="-") & F.substring(text, -1, 1).between("0", "9")
+    timed = (F.length(text) == 19) & _at(text, p11=" ", p14=":", p17=":")
+    return day & ((F.length(text) == 10) | timed)
+
+
 def parse_date(value: Column) -> Column:
-    """Zone-free timestamp from ``yyyy-MM-dd HH:mm:ss``, ``yyyy-MM-dd`` or ``dd/MM/yyyy``; else null."""
+    """Zone-free timestamp from ``yyyy-MM-dd HH:mm:ss``, ``yyyy-MM-dd`` or ``dd/MM/yyyy``; else null.
+
+    A value that needs no trimming, the common case, is not trimmed.
+    """
     text = F.btrim(value, F.lit(EDGE_CHARS))
-    shape = F.translate(text, "123456789", "000000000")
+    is_turned = (F.length(text) == 10) & _at(text, p3="/", p6="/")
     turned = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
-    iso = F.when(shape.isin("0000-00-00 00:00:00", "0000-00-00"), text).when(shape == "00/00/0000", turned)
+    iso = F.when(_is_iso(value), value).when(_is_iso(text), text).when(is_turned, turned)
     return iso.try_cast("timestamp_ntz")
 
 

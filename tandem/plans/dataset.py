@@ -65,12 +65,17 @@ def discarded_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("motif", discard_reason()).filter(F.col("motif").isNotNull())
 
 
+def payment_summary(payments: DataFrame) -> DataFrame:
+    """Payment counts per contract; only the three columns they depend on are read."""
+    return payments_per_contract(tidy_entity(payments.select(*_PAYMENT_INPUT), "paiements"))
+
+
 def claim_features(claims: DataFrame, contracts: DataFrame, payments: DataFrame, **spread) -> DataFrame:
     """All linked claims with features, coherent or not."""
     linked = link(
         tidy_entity(claims.select(*_CLAIM_INPUT), "sinistres"),
         complete_contracts(tidy_entity(contracts.select(*_CONTRACT_INPUT), "contrats")),
-        payments_per_contract(tidy_entity(payments.select(*_PAYMENT_INPUT), "paiements")),
+        payment_summary(payments),
         keys_from=claims,
         **spread,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,16 +27,25 @@ def session(app: str = "tandem", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, which all executors can read and write.
 
-    Tasks on any executor must be able to read it back, so there is no fall-back to a machine-local folder:
-    a session without the setting is an error.
+    Where it is unset, a local session gets a folder of its own; on a cluster that would be one machine's,
+    so there it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{root.rstrip('/')}/tandem-{name}-{uuid.uuid4().hex}"
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tandem-"))
+    return context.getCheckpointDir()
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder."""
+    return f"{shared_folder(spark)}/tandem-{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

@@ -112,7 +112,7 @@ def stored_dataset_counts(spark, sf):
 
 @query
 def payment_summary(spark, sf):
-    return summaries.payments_per_contract(prepare.tidy_entity(landed(spark, sf, "payments"), "paiements"))
+    return dataset.payment_summary(landed(spark, sf, "payments"))
 
 
 # --- Cleaning -------------------------------------------------------------------------------------------

@@ -19,7 +19,7 @@ def spark(tmp_path_factory) -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield spark
     spark.stop()
 

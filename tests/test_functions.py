@@ -102,6 +102,14 @@ def test_phone_agrees_with_a_plain_reading_of_the_rule(table, values):
         ("2024-02-29", "2024-02-29", "2024-02-29 00:00:00"),
         ("2024-01-05 25:00:00", None, None),
         ("2024-1-5", None, None),
+        ("2024-01-5 ", None, None),
+        ("2024-01-05 13:05:1 ", None, None),
+        ("2024-01-05 13:05", None, None),
+        ("2024-01", None, None),
+        ("2024", None, None),
+        (" 06/10/1943\t", "1943-10-06", "1943-10-06 00:00:00"),
+        ("aaaa-bb-cc", None, None),
+        ("1/10/19430", None, None),
         ("2024-01-05T13:05:01", None, None),
         ("inconnue", None, None),
         ("", None, None),
