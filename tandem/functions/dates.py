@@ -1,8 +1,8 @@
 """Dates delivered as text.
 
-The separators of a value tell which of the three known forms it has; the cast then checks digits and
-calendar. No date pattern is parsed and no exception is raised per bad row. Times carry no zone, so results
-do not depend on the session zone.
+A value in ISO form goes straight to the cast, which checks digits and calendar; other forms are rewritten
+to it first. No exception is raised per bad row. Times carry no zone, so results do not depend on the
+session zone.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ def _at(text: Column, **places: str) -> Column:
     return found
 
 
-def _is_iso(text: Column) -> Column:
+def is_iso(text: Column) -> Column:
     """Separators of ``yyyy-MM-dd`` or ``yyyy-MM-dd HH:mm:ss``, and a digit at the end."""
     day = _at(text, p5="-", p8="-") & F.substring(text, -1, 1).between("0", "9")
     timed = (F.length(text) == 19) & _at(text, p11=" ", p14=":", p17=":")
@@ -30,13 +30,11 @@ def _is_iso(text: Column) -> Column:
 def parse_date(value: Column) -> Column:
     """Zone-free timestamp from ``yyyy-MM-dd HH:mm:ss``, ``yyyy-MM-dd`` or ``dd/MM/yyyy``; else null.
 
-    A value that needs no trimming, the common case, is not trimmed.
+    Patterns are tried only on values that are not in ISO form as they stand, which are few.
     """
-    text = F.btrim(value, F.lit(EDGE_CHARS))
-    is_turned = (F.length(text) == 10) & _at(text, p3="/", p6="/")
-    turned = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
-    iso = F.when(_is_iso(value), value).when(_is_iso(text), text).when(is_turned, turned)
-    return iso.try_cast("timestamp_ntz")
+    turned = F.regexp_replace(F.btrim(value, F.lit(EDGE_CHARS)), r"^(\d\d)/(\d\d)/(\d{4})$", "$3-$2-$1")
+    repaired = F.regexp_extract(turned, r"^\d{4}-\d\d-\d\d( \d\d:\d\d:\d\d)?$", 0)
+    return F.when(is_iso(value), value).otherwise(repaired).try_cast("timestamp_ntz")
 
 
 def normal_date(value: Column, with_time: bool = False) -> Column:

@@ -28,10 +28,8 @@ def translate_words(value: Column, words: Mapping[str, str], unknown: str = "asi
         probe = rest = F.upper(clean_text(value))
     else:
         raise ValueError(f"unknown mode: {unknown}")
-    out = None
-    for source, target in words.items():
-        out = F.when(probe == source, target) if out is None else out.when(probe == source, target)
-    return rest if out is None else out.otherwise(rest)
+    table = F.create_map(*(F.lit(word) for pair in words.items() for word in pair))
+    return F.coalesce(F.element_at(table, probe), rest)
 
 
 def translate_statuses(

@@ -19,9 +19,13 @@ _RANK, _PART, _GROUP, _FIRST = "_rank", "_part", "_group", "_first"
 REPEAT = "doublon"
 
 
+def folded(df: DataFrame, key: str, ignore_case: bool) -> Column:
+    """The key, in lower case if text is to be compared without case."""
+    return F.lower(F.col(key)) if ignore_case and dict(df.dtypes)[key] == "string" else F.col(key)
+
+
 def _keys(df: DataFrame, names: Sequence[str], ignore_case: bool) -> list[Column]:
-    types = dict(df.dtypes)
-    return [F.lower(F.col(n)) if ignore_case and types[n] == "string" else F.col(n) for n in names]
+    return [folded(df, n, ignore_case) for n in names]
 
 
 def _whole_row(df: DataFrame, order_by: Sequence[str | Column]) -> list[str | Column]:

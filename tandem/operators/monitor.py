@@ -34,10 +34,12 @@ def slow_steps(
     Steps with fewer than ``measures`` values have no habit to compare with: not slow, no figures.
     """
     seconds = F.col("duree_s").cast("decimal(18,6)")
+    # A single order column keeps the aggregate hash-based; a struct would make Spark sort.
+    latest = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
     per_step = timings.groupBy("etape").agg(
         F.count("*").alias("nb_mesures"),
         F.sum(seconds).alias("total"),
-        F.max_by(seconds, F.struct(*order_by)).alias("last"),
+        F.max_by(seconds, latest).alias("last"),
     )
     enough = F.col("nb_mesures") >= measures
     mean = ((F.col("total") - F.col("last")).cast("double")) / (F.col("nb_mesures") - 1)
@@ -51,6 +53,11 @@ def slow_steps(
     )
 
 
+def step_names(timings: DataFrame) -> DataFrame:
+    """Steps in the order of their first measure."""
+    return timings.groupBy("etape").agg(F.min("date").alias("premiere")).orderBy("premiere", "etape")
+
+
 def step_history(timings: DataFrame, step: str, order_by: Sequence[str] = ("date",)) -> DataFrame:
     """Durations of one step in time order."""
     return timings.filter(F.col("etape") == step).orderBy(*order_by)

@@ -1,20 +1,22 @@
 """Quality rules as data: reject, correct or flag.
 
-A rule names a column, a check and a severity. ``check_rows`` evaluates all rules of a table in one
-projection; the rest are filters and counts over its three lists of rule names.
+A rule names a column, a check and a severity. The checks of a table share the forms of its values (trimmed
+text, parsed date, amount), which one projection makes before they are evaluated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tandem.functions.amounts import clean_amount
-from tandem.functions.dates import normal_date, parse_date
-from tandem.functions.text import clean_email, clean_text, is_postcode, normal_phone
-from tandem.operators.dedup import keep_first
+from tandem.functions.dates import is_iso, normal_date, parse_date
+from tandem.functions.text import clean_email, clean_text, is_postcode, plain_phone
+from tandem.operators.dedup import folded, keep_first
 
 REJECT, CORRECT, FLAG = "reject", "correct", "flag"
 
@@ -30,32 +32,45 @@ class Rule(NamedTuple):
         return f"{self.column}:{self.check}"
 
 
-def _filled(value: Column) -> Column:
-    return clean_text(value).isNotNull()
+#: Form of a value -> how it is made. Each form a table's rules need is made once per row.
+FORMS: dict[str, Callable[[Column], Column]] = {
+    "text": clean_text, "date": parse_date, "amount": clean_amount, "email": clean_email, "phone": plain_phone,
+}
+
+
+def _form(form: str, column: str) -> Column:
+    return F.col(f"_{form}_{column}")
+
 
+class Check(NamedTuple):
+    """The forms a check reads, and the condition, never null, under which the rule is broken."""
 
-def _bad_amount(value: Column, _: Any) -> Column:
-    amount = clean_amount(value)
-    return amount.isNull() | (amount < 0)
+    forms: tuple[str, ...]
+    broken: Callable[[str, Any], Column]
 
 
-def _other_word(value: Column, words: Sequence[str]) -> Column:
-    return ~F.coalesce(clean_text(value).isin(*words), F.lit(False))
+def _off_form(column: str, form: str) -> Column:
+    """Filled, and not written like its normal form."""
+    text = _form("text", column)
+    return text.isNotNull() & ~text.eqNullSafe(_form(form, column))
 
 
-#: Check -> true when the value breaks the rule; never null.
-CHECKS: dict[str, Callable[[Column, Any], Column]] = {
-    "empty": lambda v, _: ~_filled(v),
-    "bad_date": lambda v, _: parse_date(v).isNull(),
-    "bad_amount": _bad_amount,
-    "not_a_number": lambda v, _: clean_amount(v).isNull(),
-    "other_word": _other_word,
-    "bad_postcode": lambda v, _: ~F.coalesce(is_postcode(clean_text(v)), F.lit(False)),
-    "ends_before": lambda v, start: F.coalesce(parse_date(v) < parse_date(F.col(start)), F.lit(False)),
-    "bad_email": lambda v, _: _filled(v) & clean_email(v).isNull(),
-    "misspelt_email": lambda v, _: F.coalesce(F.contains(v, F.lit("_at_")), F.lit(False)),
-    "date_form": lambda v, with_time: F.coalesce(normal_date(v, with_time) != clean_text(v), F.lit(False)),
-    "phone_form": lambda v, _: _filled(v) & ~F.coalesce(clean_text(v) == normal_phone(v), F.lit(False)),
+CHECKS: dict[str, Check] = {
+    "empty": Check(("text",), lambda c, _: _form("text", c).isNull()),
+    "bad_date": Check(("date",), lambda c, _: _form("date", c).isNull()),
+    "bad_amount": Check(("amount",), lambda c, _: F.coalesce(_form("amount", c) < 0, F.lit(True))),
+    "not_a_number": Check(("amount",), lambda c, _: _form("amount", c).isNull()),
+    "other_word": Check(("text",), lambda c, words: ~F.coalesce(_form("text", c).isin(*words), F.lit(False))),
+    "bad_postcode": Check(("text",), lambda c, _: ~F.coalesce(is_postcode(_form("text", c)), F.lit(False))),
+    "ends_before": Check(
+        ("date",), lambda c, start: F.coalesce(_form("date", c) < _form("date", start), F.lit(False))
+    ),
+    "bad_email": Check(("text", "email"), lambda c, _: _form("text", c).isNotNull() & _form("email", c).isNull()),
+    "misspelt_email": Check((), lambda c, _: F.coalesce(F.contains(F.col(c), F.lit("_at_")), F.lit(False))),
+    "date_form": Check(
+        ("text", "date"), lambda c, _: _form("date", c).isNotNull() & ~F.coalesce(is_iso(_form("text", c)), F.lit(False))
+    ),
+    "phone_form": Check(("text", "phone"), lambda c, _: _off_form(c, "phone")),
 }
 
 #: Check -> corrected value, for the rules of severity "correct".
@@ -63,25 +78,41 @@ FIXES: dict[str, Callable[[Column, Any, str | None], Column]] = {
     "empty": lambda v, _, placeholder: F.coalesce(clean_text(v), F.lit(placeholder).cast("string")),
     "misspelt_email": lambda v, *_: clean_email(v),
     "date_form": lambda v, with_time, _: normal_date(v, with_time),
-    "phone_form": lambda v, *_: normal_phone(v),
+    "phone_form": lambda v, *_: plain_phone(v),
 }
 
 
+def add_forms(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``df`` plus the forms of its columns that the rules read, in one projection."""
+    needed = {}
+    for r in rules:
+        columns = [r.column, r.arg] if r.check == "ends_before" else [r.column]
+        needed |= {f"_{form}_{c}": FORMS[form](F.col(c)) for form in CHECKS[r.check].forms for c in columns}
+    return df.select("*", *(value.alias(name) for name, value in needed.items()))
+
+
+def breaks(rules: Sequence[Rule], *severities: str) -> Column:
+    """Whether a row with its forms breaks any rule of the severities."""
+    checks = [CHECKS[r.check].broken(r.column, r.arg) for r in rules if r.severity in severities]
+    return reduce(or_, checks, F.lit(False))
+
+
 def check_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``df`` plus the names of the rules each row breaks, in the columns reject, correct and flag."""
+    """``df`` plus the names of the rules each row breaks: the text columns reject, correct and flag.
+
+    Names are joined by commas; a row that breaks none has empty text.
+    """
 
     def broken(severity: str) -> Column:
-        names = [
-            F.when(CHECKS[r.check](F.col(r.column), r.arg), F.lit(r.name)) for r in rules if r.severity == severity
-        ]
-        return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+        mine = [r for r in rules if r.severity == severity]
+        return F.concat_ws(",", *(F.when(CHECKS[r.check].broken(r.column, r.arg), F.lit(r.name)) for r in mine))
 
-    return df.select("*", *(broken(s).alias(s) for s in (REJECT, CORRECT, FLAG)))
+    return add_forms(df, rules).select(*df.columns, *(broken(s).alias(s) for s in (REJECT, CORRECT, FLAG)))
 
 
 def split_rejected(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows); the rejected ones keep the names of the rules they break."""
-    return checked.filter(F.size(REJECT) == 0), checked.filter(F.size(REJECT) > 0)
+    return checked.filter(F.col(REJECT) == ""), checked.filter(F.col(REJECT) != "")
 
 
 def correct_rows(valid: DataFrame, rules: Sequence[Rule], placeholder: str | None = None) -> DataFrame:
@@ -100,40 +131,47 @@ def quality_report(
 ) -> DataFrame:
     """One row: rows, anomalies and rate before, rows rejected, anomalies and rate after.
 
-    Repeats of a key count as rejected. "Before" counts rows breaking any rule; "after" counts accepted rows
-    that keep a flag, since corrections have been made by then.
+    "Before" counts the rows that break any rule or share their key with another row. Rejected are the
+    repeats of a key and the rows that break a rule of severity "reject". "After" counts accepted rows that
+    keep a flag, since corrections have been made by then.
     """
-    checked = check_rows(keep_first(df, [key], order_by, ignore_case=True), rules)
-    bad = F.size(REJECT) > 0
-    total = df.agg(F.count("*")).scalar()
-    counts = checked.agg(
-        F.count("*").alias("kept"),
-        F.count_if(bad | (F.size(CORRECT) > 0) | (F.size(FLAG) > 0)).alias("broken"),
-        F.count_if(bad).alias("refused"),
-        F.count_if(~bad & (F.size(FLAG) > 0)).alias("flagged"),
-    ).select("*", total.alias("total"))
-    repeats = F.col("total") - F.col("kept")
+    bad = breaks(rules, REJECT)
+    per_key = add_forms(df, rules).groupBy(folded(df, key, ignore_case=True).alias("key")).agg(
+        F.count("*").alias("n"), F.count_if(breaks(rules, REJECT, CORRECT, FLAG)).alias("broken")
+    )
+    before = F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("broken"))
+    kept = keep_first(df, [key], order_by, ignore_case=True)
+    first_rows = add_forms(kept, [r for r in rules if r.severity != CORRECT]).agg(
+        F.struct(F.count_if(bad).alias("refused"), F.count_if(~bad & breaks(rules, FLAG)).alias("flagged"))
+    )
+    counts = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeats"),
+        F.coalesce(F.sum(before), F.lit(0)).alias("before"),
+    ).withColumn("first", first_rows.scalar())
 
     def rate(n: Column) -> Column:
         share = n.cast("decimal(18,0)") * 100 / F.nullif(F.col("total"), F.lit(0)).cast("decimal(18,0)")
         return F.round(share, 2).cast("double")
 
-    before, after = F.col("broken") + repeats, F.col("flagged")
+    after = F.col("first.flagged")
     return counts.select(
         F.lit(table).alias("table"),
         F.col("total").alias("nb_lignes_total"),
-        before.alias("nb_anomalies_avant"),
-        rate(before).alias("taux_anomalies_avant"),
-        (F.col("refused") + repeats).alias("nb_lignes_rejetees"),
+        F.col("before").alias("nb_anomalies_avant"),
+        rate(F.col("before")).alias("taux_anomalies_avant"),
+        (F.col("first.refused") + F.col("repeats")).alias("nb_lignes_rejetees"),
         after.alias("nb_anomalies_apres"),
         rate(after).alias("taux_anomalies_apres"),
     )
 
 
-def rule_counts(checked: DataFrame) -> DataFrame:
-    """Rows per broken rule."""
-    named = F.explode(F.concat(F.col(REJECT), F.col(CORRECT), F.col(FLAG)))
-    return checked.select(named.alias("rule")).groupBy("rule").agg(F.count("*").alias("nb"))
+def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows per broken rule, all counted in one pass."""
+    counts = add_forms(df, rules).agg(
+        *(F.count_if(CHECKS[r.check].broken(r.column, r.arg)).alias(r.name) for r in rules)
+    )
+    return counts.unpivot([], [F.col(f"`{r.name}`") for r in rules], "rule", "nb").filter(F.col("nb") > 0)
 
 
 def incoherent_rows(df: DataFrame, status: str, date: str, allowed: Sequence[str]) -> DataFrame:

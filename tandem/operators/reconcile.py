@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from tandem.operators.dedup import folded
 from tandem.operators.summaries import count_tables
 
 
@@ -39,8 +40,7 @@ def fusion_control(
 
 def duplicate_counts(df: DataFrame, key: str) -> DataFrame:
     """Unique and duplicate rows of a table, from one count per key; text keys compared without case."""
-    folded = F.lower(F.col(key)) if dict(df.dtypes)[key] == "string" else F.col(key)
-    per_key = df.groupBy(folded.alias(key)).agg(F.count("*").alias("n"))
+    per_key = df.groupBy(folded(df, key, ignore_case=True).alias(key)).agg(F.count("*").alias("n"))
     return per_key.agg(
         F.count("*").alias("nb_uniques"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("nb_doublons")
     )

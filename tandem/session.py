@@ -19,6 +19,8 @@ def session(app: str = "tandem", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # The landing writes two folders per task; both stay open, so its rows need no sort.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
         # Call sites in error messages cost several round trips per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -42,6 +42,10 @@ def _phone(x: str) -> str:
     return f"CASE WHEN length({d}) = 10 AND substr({d}, 1, 1) = '0' THEN {pairs} END"
 
 
+def _digits(x: str) -> str:
+    return f"replace({_phone(x)}, ' ', '')"
+
+
 def _words(x: str, words: dict[str, str], rest: str | None = None) -> str:
     arms = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in words.items())
     return f"CASE {x} {arms} ELSE {rest or x} END"
@@ -380,6 +384,7 @@ SELECT etape, nb_mesures, last AS derniere_s, moyenne_avant_s,
 FROM (SELECT etape, count(*) AS nb_mesures, CAST(max_by(s, (date, event_id)) AS DOUBLE) AS last,
     CAST(sum(s) - max_by(s, (date, event_id)) AS DOUBLE) / (count(*) - 1) AS moyenne_avant_s
   FROM (SELECT *, CAST(duree_s AS DECIMAL(18,6)) AS s FROM raw_timings) GROUP BY etape)""",
+    "step_names": "SELECT etape, min(date) AS premiere FROM raw_timings GROUP BY etape ORDER BY premiere, etape",
     "step_history": "SELECT * FROM raw_timings WHERE etape = 'purchase' ORDER BY date, event_id",
     "newest_status_lines": "SELECT * FROM log_lines ORDER BY date DESC, message LIMIT 40",
     "status_counts": "SELECT service, niveau, count(*) AS nb FROM log_lines GROUP BY 1, 2",
@@ -449,14 +454,17 @@ def _source_columns(table: str) -> list[str]:
 def _ranked(table: str, source: str) -> str:
     order = ", ".join(f"{c} NULLS FIRST" for c in _source_columns(table))
     key = _SOURCE_KEYS[table]
-    return f"SELECT *, row_number() OVER (PARTITION BY lower({key}) ORDER BY {order}) AS rn FROM {source}_{table}"
+    return (
+        f"SELECT *, row_number() OVER (PARTITION BY lower({key}) ORDER BY {order}) AS rn, "
+        f"count(*) OVER (PARTITION BY lower({key})) AS copies FROM {source}_{table}"
+    )
 
 
 for _name, _key in _SOURCE_KEYS.items():
     _TEMPLATES[f"split_{_name}"] = (
-        f"SELECT * EXCLUDE (rn), rn > 1 AS doublon FROM ({_ranked(_name, 'clean')})"
+        f"SELECT * EXCLUDE (rn, copies), rn > 1 AS doublon FROM ({_ranked(_name, 'clean')})"
     )
-_TEMPLATES["repeated_claims"] = f"SELECT * EXCLUDE (rn) FROM ({_ranked('A_claims', 'clean')}) WHERE rn > 1"
+_TEMPLATES["repeated_claims"] = f"SELECT * EXCLUDE (rn, copies) FROM ({_ranked('A_claims', 'clean')}) WHERE rn > 1"
 _TEMPLATES["duplicate_counts"] = " UNION ALL ".join(
     f"SELECT '{name}' AS \"table\", count(DISTINCT lower({_SOURCE_KEYS[t]})) AS nb_uniques, "
     f"count(*) - count(DISTINCT lower({_SOURCE_KEYS[t]})) AS nb_doublons FROM raw_{t}"
@@ -526,12 +534,12 @@ def _no_number(c: str) -> str:
     return f"TRY_CAST({_t(c)} AS DOUBLE) IS NULL"
 
 
-def _off_form(c: str, form) -> str:
-    return f"coalesce({form(c)} <> {_t(c)}, false)"
+def _off_form(c: str) -> str:
+    return f"({_date(c)} IS NOT NULL AND contains({c}, '/'))"
 
 
 def _off_phone(c: str) -> str:
-    return f"({_t(c)} IS NOT NULL AND coalesce({_phone(c)} <> {_t(c)}, true))"
+    return f"({_t(c)} IS NOT NULL AND coalesce({_digits(c)} <> {_t(c)}, true))"
 
 
 def _off_zip(c: str) -> str:
@@ -555,13 +563,13 @@ _RULES: dict[str, dict[str, tuple[str, str]]] = {
         "ab_date_naissance:bad_date": ("reject", _bad_date("ab_date_naissance")),
         "ab_num_fiscal:empty": ("reject", _blank("ab_num_fiscal")),
         "ab_date_creation:bad_date": ("reject", _bad_date("ab_date_creation")),
-        "ab_date_naissance:date_form": ("correct", _off_form("ab_date_naissance", _day)),
+        "ab_date_naissance:date_form": ("correct", _off_form("ab_date_naissance")),
         "ab_email:empty": ("correct", _blank("ab_email")),
         "ab_email:misspelt_email": ("correct", "contains(ab_email, '_at_')"),
         "ab_telephone:empty": ("correct", _blank("ab_telephone")),
         "ab_telephone:phone_form": ("correct", _off_phone("ab_telephone")),
         "ab_adresse:empty": ("correct", _blank("ab_adresse")),
-        "ab_date_creation:date_form": ("correct", _off_form("ab_date_creation", _moment)),
+        "ab_date_creation:date_form": ("correct", _off_form("ab_date_creation")),
         "ab_email:bad_email": ("flag", f"({_t('ab_email')} IS NOT NULL AND ({_email('ab_email')}) IS NULL)"),
         "ab_code_postal:bad_postcode": ("flag", _off_zip("ab_code_postal")),
         "ab_statut_client:other_word": ("flag", _not_in("ab_statut_client", "ACTIF INACTIF SUSPENDU")),
@@ -572,8 +580,8 @@ _RULES: dict[str, dict[str, tuple[str, str]]] = {
         "ab_date_debut:bad_date": ("reject", _bad_date("ab_date_debut")),
         "ab_date_fin:bad_date": ("reject", _bad_date("ab_date_fin")),
         "ab_prime_annuelle:bad_amount": ("reject", _bad_amount("ab_prime_annuelle")),
-        "ab_date_debut:date_form": ("correct", _off_form("ab_date_debut", _day)),
-        "ab_date_fin:date_form": ("correct", _off_form("ab_date_fin", _day)),
+        "ab_date_debut:date_form": ("correct", _off_form("ab_date_debut")),
+        "ab_date_fin:date_form": ("correct", _off_form("ab_date_fin")),
         "ab_agence_id:empty": ("correct", _blank("ab_agence_id")),
         "ab_date_fin:ends_before": ("flag", _ends_before("ab_date_fin", "ab_date_debut")),
         "ab_statut_contrat:other_word": ("flag", _not_in("ab_statut_contrat", "ACTIF RESILIE SUSPENDU")),
@@ -582,14 +590,14 @@ _RULES: dict[str, dict[str, tuple[str, str]]] = {
         "ab_policy_number:empty": ("reject", _blank("ab_policy_number")),
         "ab_date_paiement:bad_date": ("reject", _bad_date("ab_date_paiement")),
         "ab_montant:bad_amount": ("reject", _bad_amount("ab_montant")),
-        "ab_date_paiement:date_form": ("correct", _off_form("ab_date_paiement", _day)),
+        "ab_date_paiement:date_form": ("correct", _off_form("ab_date_paiement")),
         "ab_mode_paiement:empty": ("correct", _blank("ab_mode_paiement")),
     },
     "AB_SINISTRE": {
         "ab_policy_number:empty": ("reject", _blank("ab_policy_number")),
         "ab_date_sinistre:bad_date": ("reject", _bad_date("ab_date_sinistre")),
         "ab_montant_estime:bad_amount": ("reject", _bad_amount("ab_montant_estime")),
-        "ab_date_sinistre:date_form": ("correct", _off_form("ab_date_sinistre", _moment)),
+        "ab_date_sinistre:date_form": ("correct", _off_form("ab_date_sinistre")),
         "ab_description:empty": ("correct", _blank("ab_description")),
         "ab_statut_sinistre:other_word": ("flag", _not_in("ab_statut_sinistre", "DECLARE EN_COURS CLOTURE REJETE")),
     },
@@ -597,13 +605,13 @@ _RULES: dict[str, dict[str, tuple[str, str]]] = {
         "ap_full_name:empty": ("reject", _blank("ap_full_name")),
         "ap_birth_date:bad_date": ("reject", _bad_date("ap_birth_date")),
         "ap_created_at:bad_date": ("reject", _bad_date("ap_created_at")),
-        "ap_birth_date:date_form": ("correct", _off_form("ap_birth_date", _day)),
+        "ap_birth_date:date_form": ("correct", _off_form("ap_birth_date")),
         "ap_mail_address:empty": ("correct", _blank("ap_mail_address")),
         "ap_mail_address:misspelt_email": ("correct", "contains(ap_mail_address, '_at_')"),
         "ap_phone_number:empty": ("correct", _blank("ap_phone_number")),
         "ap_phone_number:phone_form": ("correct", _off_phone("ap_phone_number")),
         "ap_street_address:empty": ("correct", _blank("ap_street_address")),
-        "ap_created_at:date_form": ("correct", _off_form("ap_created_at", _moment)),
+        "ap_created_at:date_form": ("correct", _off_form("ap_created_at")),
         "ap_zip_code:bad_postcode": ("flag", _off_zip("ap_zip_code")),
         "ap_customer_status:other_word": ("flag", _not_in("ap_customer_status", "ACTIVE INACTIVE SUSPENDED")),
         "ap_loyalty_score:not_a_number": ("flag", _no_number("ap_loyalty_score")),
@@ -614,8 +622,8 @@ _RULES: dict[str, dict[str, tuple[str, str]]] = {
         "ap_start_date:bad_date": ("reject", _bad_date("ap_start_date")),
         "ap_end_date:bad_date": ("reject", _bad_date("ap_end_date")),
         "ap_monthly_premium:bad_amount": ("reject", _bad_amount("ap_monthly_premium")),
-        "ap_start_date:date_form": ("correct", _off_form("ap_start_date", _moment)),
-        "ap_end_date:date_form": ("correct", _off_form("ap_end_date", _moment)),
+        "ap_start_date:date_form": ("correct", _off_form("ap_start_date")),
+        "ap_end_date:date_form": ("correct", _off_form("ap_end_date")),
         "ap_broker_code:empty": ("correct", _blank("ap_broker_code")),
         "ap_end_date:ends_before": ("flag", _ends_before("ap_end_date", "ap_start_date")),
         "ap_contract_state:other_word": ("flag", _not_in("ap_contract_state", "ACTIVE TERMINATED SUSPENDED")),
@@ -624,7 +632,7 @@ _RULES: dict[str, dict[str, tuple[str, str]]] = {
         "ap_contract_ref:empty": ("reject", _blank("ap_contract_ref")),
         "ap_payment_datetime:bad_date": ("reject", _bad_date("ap_payment_datetime")),
         "ap_amount_paid:bad_amount": ("reject", _bad_amount("ap_amount_paid")),
-        "ap_payment_datetime:date_form": ("correct", _off_form("ap_payment_datetime", _moment)),
+        "ap_payment_datetime:date_form": ("correct", _off_form("ap_payment_datetime")),
         "ap_payment_channel:empty": ("correct", _blank("ap_payment_channel")),
         "ap_transaction_status:other_word": ("flag", _not_in("ap_transaction_status", "SUCCESS PENDING FAILED")),
     },
@@ -632,7 +640,7 @@ _RULES: dict[str, dict[str, tuple[str, str]]] = {
         "ap_contract_ref:empty": ("reject", _blank("ap_contract_ref")),
         "ap_incident_date:bad_date": ("reject", _bad_date("ap_incident_date")),
         "ap_estimated_amount:bad_amount": ("reject", _bad_amount("ap_estimated_amount")),
-        "ap_incident_date:date_form": ("correct", _off_form("ap_incident_date", _day)),
+        "ap_incident_date:date_form": ("correct", _off_form("ap_incident_date")),
         "ap_claim_comment:empty": ("correct", _blank("ap_claim_comment")),
         "ap_claim_status:other_word": ("flag", _not_in("ap_claim_status", "REPORTED IN_PROGRESS CLOSED REJECTED")),
         "ap_fraud_score:not_a_number": ("flag", _no_number("ap_fraud_score")),
@@ -657,7 +665,7 @@ SELECT '{name}' AS "table", n AS nb_lignes_total, before AS nb_anomalies_avant,
   ((20000 * before + n) // (2 * n)) / 100 AS taux_anomalies_avant, refused AS nb_lignes_rejetees,
   after AS nb_anomalies_apres, ((20000 * after + n) // (2 * n)) / 100 AS taux_anomalies_apres
 FROM (SELECT count(*) AS n,
-    count(*) FILTER (rn > 1 OR {_any(name, "reject", "correct", "flag")}) AS before,
+    count(*) FILTER (copies > 1 OR {_any(name, "reject", "correct", "flag")}) AS before,
     count(*) FILTER (rn > 1 OR {_any(name, "reject")}) AS refused,
     count(*) FILTER (rn = 1 AND NOT {_any(name, "reject")} AND {_any(name, "flag")}) AS after
   FROM ({_ranked(table, "raw")}))"""
@@ -676,7 +684,7 @@ _TEMPLATES["corrected_clients"] = f"""
 SELECT ab_client_id, {_day("ab_date_naissance")} AS ab_date_naissance,
   CASE WHEN {_blank("ab_email")} THEN 'NON_RENSEIGNE' ELSE coalesce({_email("ab_email")}, 'NON_RENSEIGNE') END
     AS ab_email,
-  coalesce({_phone("ab_telephone")}, 'NON_RENSEIGNE') AS ab_telephone,
+  coalesce({_digits("ab_telephone")}, 'NON_RENSEIGNE') AS ab_telephone,
   coalesce({_t("ab_adresse")}, 'NON_RENSEIGNE') AS ab_adresse, {_moment("ab_date_creation")} AS ab_date_creation,
   {_listed("AB_CLIENT", "flag")} AS anomalies
 FROM raw_A_clients WHERE NOT {_any("AB_CLIENT", "reject")}"""

@@ -454,7 +454,7 @@ def quality_report(spark, sf):
 @query
 def broken_rules(spark, sf):
     parts = {
-        name: quality.rule_counts(quality.check_rows(raw(spark, sf, t), _rules_of(name)[1]))
+        name: quality.rule_counts(raw(spark, sf, t), _rules_of(name)[1])
         for name, t in SOURCE_TABLES.items()
     }
     return _tagged(parts, "table")
@@ -464,7 +464,7 @@ def broken_rules(spark, sf):
 def rejected_clients(spark, sf):
     checked = quality.check_rows(raw(spark, sf, "A_clients"), _rules_of("AB_CLIENT")[1])
     _, rejected = quality.split_rejected(checked)
-    return rejected.select("ab_client_id", F.array_join(quality.REJECT, ",").alias("motifs"))
+    return rejected.select("ab_client_id", F.col(quality.REJECT).alias("motifs"))
 
 
 @query
@@ -473,7 +473,7 @@ def corrected_clients(spark, sf):
     valid, _ = quality.split_rejected(quality.check_rows(raw(spark, sf, "A_clients"), rules))
     return quality.correct_rows(valid, rules, catalog.PLACEHOLDER).select(
         "ab_client_id", "ab_date_naissance", "ab_email", "ab_telephone", "ab_adresse", "ab_date_creation",
-        F.array_join(quality.FLAG, ",").alias("anomalies"),
+        F.col(quality.FLAG).alias("anomalies"),
     )
 
 
@@ -670,6 +670,11 @@ def slow_steps(spark, sf):
     return monitor.slow_steps(raw(spark, sf, "timings"), ["date", "event_id"], factor=1.5, minimum_s=0.5)
 
 
+@query
+def step_names(spark, sf):
+    return monitor.step_names(raw(spark, sf, "timings"))
+
+
 @query
 def step_history(spark, sf):
     return monitor.step_history(raw(spark, sf, "timings"), "purchase", ["date", "event_id"])

@@ -53,7 +53,7 @@ def with_(**changes):
 )
 def test_each_rule(table, changes, reject, correct, flag):
     got = quality.check_rows(table(SCHEMA, with_(**changes)), RULES).first()
-    assert (got[REJECT], got[CORRECT], got[FLAG]) == (reject, correct, flag)
+    assert [got[s].split(",") if got[s] else [] for s in (REJECT, CORRECT, FLAG)] == [reject, correct, flag]
 
 
 def test_split_and_correction(table):
@@ -71,14 +71,16 @@ def test_split_and_correction(table):
 def test_report_counts_repeats_as_rejected(table):
     df = table(SCHEMA, GOOD, GOOD, with_(id="2", nom=""), with_(id="3", mail=" "), with_(id="4", cp="1"))
     got = quality.quality_report(df, "T", "id", RULES)
-    assert rows(got) == [("T", 5, 4, 80.0, 2, 1, 20.0)]
+    assert rows(got) == [("T", 5, 5, 100.0, 2, 1, 20.0)]
+    one_pair = quality.quality_report(table(SCHEMA, GOOD, GOOD, with_(id="5")), "T", "id", RULES)
+    assert rows(one_pair) == [("T", 3, 2, 66.67, 1, 0, 0.0)]
     empty = quality.quality_report(df.limit(0), "T", "id", RULES)
     assert rows(empty) == [("T", 0, 0, None, 0, 0, None)]
 
 
 def test_rule_counts(table):
     df = table(SCHEMA, GOOD, with_(nom="", cp=""), with_(cp=""))
-    assert rows(quality.rule_counts(quality.check_rows(df, RULES))) == [("cp:bad_postcode", 2), ("nom:empty", 1)]
+    assert rows(quality.rule_counts(df, RULES)) == [("cp:bad_postcode", 2), ("nom:empty", 1)]
 
 
 def test_every_source_table_has_its_rules():
@@ -172,10 +174,17 @@ def test_slow_down(table, seconds, factor, slow, last, mean):
     assert got["moyenne_avant_s"] == (None if mean is None else pytest.approx(mean))
 
 
+def test_last_of_several_measures_at_one_time(table):
+    df = table("date int, n int, etape string, duree_s double", *[(1, i, "s", float(i)) for i in (3, 9, 1, 2)])
+    got = monitor.slow_steps(df, ["date", "n"]).first()
+    assert (got["derniere_s"], got["ralenti"]) == (9.0, True)
+
+
 def test_durations_and_history(table):
     df = table("date int, etape string, duree_s double", (2, "s", 1.239), (1, "s", 2.0), (3, "t", 1.0))
     assert rows(monitor.step_durations(df)) == [("s", 2, 1.24, 1.62, 2.0), ("t", 1, 1.0, 1.0, 1.0)]
     assert [r["date"] for r in monitor.step_history(df, "s").collect()] == [1, 2]
+    assert [r["etape"] for r in monitor.step_names(df).collect()] == ["s", "t"]
 
 
 def test_status_log(table):
