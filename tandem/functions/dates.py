@@ -1,8 +1,7 @@
 """Dates delivered as text.
 
-A value in ISO form goes straight to the cast, which checks digits and calendar; other forms are rewritten
-to it first. No exception is raised per bad row. Times carry no zone, so results do not depend on the
-session zone.
+A value in ISO form goes straight to the cast, which checks the calendar; other forms are rewritten to it
+first. No exception is raised per bad row. Times carry no zone, so results do not depend on the session zone.
 """
 
 from __future__ import annotations
@@ -11,29 +10,22 @@ from pyspark.sql import Column, functions as F
 
 from tandem.functions.text import EDGE_CHARS
 
-
-def _at(text: Column, **places: str) -> Column:
-    """Whether the characters stand at the places, given as ``p5="-"``."""
-    found = F.lit(True)
-    for place, char in places.items():
-        found = found & (F.substring(text, int(place[1:]), 1) == char)
-    return found
+_ISO = r"^\d{4}-\d\d-\d\d( \d\d:\d\d:\d\d)?$"
+_TURNED = r"^(\d\d)/(\d\d)/(\d{4})$"
 
 
 def is_iso(text: Column) -> Column:
-    """Separators of ``yyyy-MM-dd`` or ``yyyy-MM-dd HH:mm:ss``, and a digit at the end."""
-    day = _at(text, p5="-", p8="-") & F.substring(text, -1, 1).between("0", "9")
-    timed = (F.length(text) == 19) & _at(text, p11=" ", p14=":", p17=":")
-    return day & ((F.length(text) == 10) | timed)
+    """``yyyy-MM-dd`` or ``yyyy-MM-dd HH:mm:ss``, whatever the digits."""
+    return text.rlike(_ISO)
 
 
 def parse_date(value: Column) -> Column:
     """Zone-free timestamp from ``yyyy-MM-dd HH:mm:ss``, ``yyyy-MM-dd`` or ``dd/MM/yyyy``; else null.
 
-    Patterns are tried only on values that are not in ISO form as they stand, which are few.
+    Values that are in ISO form as they stand, nearly all, are neither trimmed nor rewritten.
     """
-    turned = F.regexp_replace(F.btrim(value, F.lit(EDGE_CHARS)), r"^(\d\d)/(\d\d)/(\d{4})$", "$3-$2-$1")
-    repaired = F.regexp_extract(turned, r"^\d{4}-\d\d-\d\d( \d\d:\d\d:\d\d)?$", 0)
+    rewritten = F.regexp_replace(F.btrim(value, F.lit(EDGE_CHARS)), _TURNED, "$3-$2-$1")
+    repaired = F.regexp_extract(rewritten, _ISO, 0)
     return F.when(is_iso(value), value).otherwise(repaired).try_cast("timestamp_ntz")
 
 
