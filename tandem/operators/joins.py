@@ -8,19 +8,26 @@ from math import ceil
 from pyspark.sql import DataFrame, functions as F
 
 _HOT, _SALT, _ROWS = "_hot", "_salt", "_rows"
+#: Fewer than the 128 groups up to which Spark keeps such aggregates in a hash map.
+_BUCKETS = 100
 
 
 def hot_keys(keys: DataFrame, on: str, share: float, at_least: int) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: never more than ``1 / share`` of them.
+    """Keys that hold at least ``share`` of all rows: about ``1 / share`` of them at most.
 
-    One pass with a frequency sketch of fixed size per task, so the keys themselves are not shuffled. The
-    sketch tracks ten times as many keys as can reach the share, which is enough not to miss one; a key
-    missed or listed for nothing would change the balance of the join, not its result.
+    One pass with frequency sketches, one per hash bucket of the keys: the keys themselves are not shuffled,
+    each task sends sketches of fixed size, and as many tasks as buckets merge them. Within its bucket such a
+    key stands out a hundredfold, so a small sketch is enough. A key missed or listed for nothing would
+    change the balance of the join, not its result.
     """
-    most = ceil(1 / share)
-    top = keys.filter(F.col(on).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{on}`, {most}, {10 * most})").alias("top"), F.count("*").alias(_ROWS)
+    tracked = max(64, ceil(10 / (share * _BUCKETS)))
+    per_bucket = (
+        keys.filter(F.col(on).isNotNull())
+        .groupBy(F.pmod(F.xxhash64(on), F.lit(_BUCKETS)).alias("bucket"))
+        .agg(F.expr(f"approx_top_k(`{on}`, {tracked // 2}, {tracked})").alias("top"), F.count("*").alias(_ROWS))
     )
+    # At most buckets x tracked / 2 keys, whatever the size of the table.
+    top = per_bucket.agg(F.flatten(F.collect_list("top")).alias("top"), F.sum(_ROWS).alias(_ROWS))
     enough = F.greatest(F.lit(at_least), F.col(_ROWS) * share)
     return top.select(F.explode("top").alias("top"), enough.alias("enough")).filter(
         F.col("top.count") >= F.col("enough")
@@ -41,8 +48,8 @@ def attach(
 
     Left rows of a hot key are spread over ``spread`` buckets by a hash of ``spread_by``, and only the right
     rows of hot keys are repeated, once per bucket. Left rows without a key are spread too: they match
-    nothing, but would otherwise meet in one task. The list of hot keys is broadcast; it holds at most
-    ``1 / share`` keys whatever the size of the tables. ``keys_from`` may give a cheaper table with the same
+    nothing, but would otherwise meet in one task. The list of hot keys is broadcast; its size is bounded
+    by ``share`` whatever the size of the tables. ``keys_from`` may give a cheaper table with the same
     keys to count, such as the input of a long plan.
 
     Every other choice between broadcast and sort-merge is left to Spark, which knows the sizes.

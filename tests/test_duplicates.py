@@ -122,6 +122,8 @@ def test_hot_keys_are_found_and_bounded(spark):
     df = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("k"), "id")).alias("k"))
     assert rows(hot_keys(df, "k", 0.01, 1)) == [("HOT",)]
     assert rows(hot_keys(df, "k", 0.01, 1_000_000)) == []
+    many = spark.range(40_000).select((F.col("id") % 20).cast("string").alias("k"))
+    assert hot_keys(many, "k", 0.001, 1).count() == 20
     assert hot_keys(spark.range(1000).select(F.col("id").cast("string").alias("k")), "k", 0.001, 1).count() <= 1000
 
 
