@@ -9,11 +9,13 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as contract
+from tandem.workload.oracle import ORACLES
+from tandem.workload.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not present")
-SQL = contract.oracle_sql()
+SQL = {name: sql for name, sql in ORACLES.items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +36,7 @@ def plain(value):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, views, name):
-    df = contract.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     found = views.sql(SQL[name])
     assert sorted(df.columns) == sorted(found.columns)
     order = [found.columns.index(c) for c in df.columns]
@@ -47,7 +49,7 @@ def test_flagship_has_rows(spark):
 
 
 def test_only_fitted_models_have_no_sql():
-    assert set(contract.queries()) - set(SQL) == {
+    assert set(QUERIES) - set(SQL) == {
         "cross_validation", "model_predictions", "feature_importances", "tree_nodes", "tree_rules", "tree_parity",
     }
 
@@ -56,7 +58,11 @@ def test_results_do_not_depend_on_the_number_of_shuffle_partitions(spark):
     seen = []
     for n in ("3", "31"):
         spark.conf.set("spark.sql.shuffle.partitions", n)
-        rows = contract.queries()["stratified_folds"](spark, SF).collect()
+        rows = QUERIES["stratified_folds"](spark, SF).collect()
         seen.append(Counter(map(tuple, rows)))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert seen[0] == seen[1]
+
+
+def test_the_contract_has_every_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
