@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm import secrets, urls
+from tandem.llm import fingerprints, records, secrets, urls
 
 #: Fixed by the query: the rules that pages are judged by.
 URL_RULES = (
@@ -20,16 +20,33 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
+
+
+def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.write_and_read(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2)
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES = {
     "op4_url_filters": op4_url_filters,
+    "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_token_records": op8_token_records,
     "op9_secret_scans": op9_secret_scans,
 }
 
