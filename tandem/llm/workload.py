@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm import fingerprints, records, secrets, urls
+from tandem.llm import fingerprints, records, secrets, simhash, urls
 
 #: Fixed by the query: the rules that pages are judged by.
 URL_RULES = (
@@ -31,6 +31,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_bits=2)
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op4_url_filters": op4_url_filters,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_token_records": op8_token_records,
     "op9_secret_scans": op9_secret_scans,
