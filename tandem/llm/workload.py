@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm import fingerprints, records, secrets, simhash, urls
+from tandem.llm import fingerprints, records, secrets, simhash, urls, warc
 
 #: Fixed by the query: the rules that pages are judged by.
 URL_RULES = (
@@ -27,6 +27,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(read(spark, sf_dir, "pages"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
@@ -48,6 +52,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_warc_archives": op2_warc_archives,
     "op4_url_filters": op4_url_filters,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
@@ -58,6 +63,19 @@ LLM_QUERIES = {
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 LLM_ORACLES = {
+    "op2_warc_archives": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        named AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000
+                           THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS kept
+            FROM payloads)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN kept > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN kept > page_id THEN kept END AS refers_to
+        FROM named
+    """,
     "op4_url_filters": rf"""
         WITH cut AS (
             SELECT page_id,
