@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm import fingerprints, records, secrets, simhash, urls, warc
+from tandem.llm import decontaminate, fingerprints, records, secrets, simhash, urls, warc
 
 #: Fixed by the query: the rules that pages are judged by.
 URL_RULES = (
@@ -27,6 +27,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=13, share=20)
+
+
 def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(read(spark, sf_dir, "pages"))
 
@@ -52,6 +56,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_archives": op2_warc_archives,
     "op4_url_filters": op4_url_filters,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
@@ -62,7 +67,37 @@ LLM_QUERIES = {
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 LLM_ORACLES = {
+    "op1_benchmark_decontamination": rf"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w
+            FROM documents),
+        item_words AS (
+            SELECT coalesce(item_id::VARCHAR, '') AS item,
+                   regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w
+            FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item, w[s : s + 12] AS win
+            FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS s FROM item_words WHERE len(w) > 0)),
+        lengths AS (SELECT DISTINCT len(win) AS n FROM windows),
+        met AS (
+            SELECT d.doc_id, d.s, d.n, x.item
+            FROM (SELECT doc_id, n, s, w[s : s + n - 1] AS win
+                  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s FROM words, lengths)) d
+            JOIN windows x ON x.win = d.win),
+        covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM met) GROUP BY 1),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY 1)
+        SELECT w.doc_id, len(w.w) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+               sha256(coalesce(n.items, '')) AS items_sha256,
+               coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(w.w) AS contaminated
+        FROM words w LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
+    """,
     "op2_warc_archives": """
         WITH payloads AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
