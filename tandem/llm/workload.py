@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm import decontaminate, fingerprints, records, secrets, simhash, urls, warc
+from tandem.llm import decontaminate, fingerprints, records, secrets, simhash, toxicity, urls, warc
 
 #: Fixed by the query: the rules that pages are judged by.
 URL_RULES = (
@@ -35,6 +35,10 @@ def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(read(spark, sf_dir, "pages"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
@@ -58,6 +62,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_archives": op2_warc_archives,
+    "op3_toxicity": op3_toxicity,
     "op4_url_filters": op4_url_filters,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
