@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm import decontaminate, fingerprints, records, secrets, simhash, toxicity, urls, warc
+from tandem.llm import decontaminate, fingerprints, pieces, records, secrets, simhash, toxicity, urls, warc
 
 #: Fixed by the query: the rules that pages are judged by.
 URL_RULES = (
@@ -47,6 +47,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trips(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ LLM_QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_url_filters": op4_url_filters,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_token_records": op8_token_records,
     "op9_secret_scans": op9_secret_scans,
