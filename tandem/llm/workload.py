@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm import decontaminate, fingerprints, pieces, records, secrets, simhash, toxicity, urls, warc
+from tandem.llm import decontaminate, fingerprints, pieces, records, secrets, simhash, suffixes, toxicity, urls, warc
 
 #: Fixed by the query: the rules that pages are judged by.
 URL_RULES = (
@@ -63,6 +63,10 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read(spark, sf_dir, "documents"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(read(spark, sf_dir, "documents"), least=50)
+
+
 LLM_QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_archives": op2_warc_archives,
@@ -73,6 +77,7 @@ LLM_QUERIES = {
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_token_records": op8_token_records,
     "op9_secret_scans": op9_secret_scans,
+    "op10_repeated_passages": op10_repeated_passages,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
