@@ -126,7 +126,9 @@ class Search:
         for at in range(0, len(text), self.ASK):
             self.text += text[at : at + self.ASK]
             self._extend()
-            if len(self.text) - self.asked >= self.ASK and (meeting := self._meeting()):
+            if len(self.text) - self.asked < self.ASK:
+                continue
+            if meeting := self._meeting():
                 out += self._ids(meeting)
                 self.text = self.text[meeting:]
                 base = self.best[meeting]

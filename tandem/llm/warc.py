@@ -59,7 +59,7 @@ class Record:
 
 @dataclass
 class Gap:
-    """Bytes [start, end) of a file in which no valid record begins."""
+    """Bytes [start, end) of a file that failed a check; of a damaged gzip member, records before the damage are kept."""
 
     start: int
     end: int
@@ -204,16 +204,33 @@ class _Member:
             if not piece:
                 raise Damaged("gzip member is cut short")
             at += len(piece)
+            before = unpacker.copy()
             try:
-                while piece:
-                    out = unpacker.decompress(piece, PIECE)
-                    piece = unpacker.unconsumed_tail
+                rest = piece
+                while rest:
+                    out = unpacker.decompress(rest, PIECE)
+                    rest, before, piece = unpacker.unconsumed_tail, unpacker.copy(), unpacker.unconsumed_tail
                     if out:
                         yield out
             except zlib.error as why:
+                yield from self._until_error(before, piece)
                 raise Damaged(f"gzip: {why}") from None
         self.end = at - len(unpacker.unused_data)
 
+    @classmethod
+    def _until_error(cls, unpacker, data: bytes, step: int = 256) -> Iterator[bytes]:
+        """What data holds before the place that fails, which a single call doesn't give back."""
+        for i in range(0, len(data), step):
+            before, part = unpacker.copy(), data[i : i + step]
+            try:
+                out = unpacker.decompress(part)
+            except zlib.error:
+                if step > 1:
+                    yield from cls._until_error(before, part, 1)
+                return
+            if out:
+                yield out
+
 
 def _next_start(file, at: int, size: int) -> int:
     """The next place that may begin a gzip member or a record, or the end of the file."""
