@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, functions as F
 
 from tandem import catalog
@@ -9,8 +11,9 @@ from tandem.functions.text import clean_text
 
 
 def number(value: Column) -> Column:
-    """Double from text or a number; blank or unreadable gives null."""
-    return value.try_cast("double")
+    """Double from text or a number; blank, unreadable, NaN or endless gives null."""
+    read = value.try_cast("double")
+    return F.when(read.between(-sys.float_info.max, sys.float_info.max), read)
 
 
 def clean_amount(value: Column) -> Column:
@@ -19,8 +22,8 @@ def clean_amount(value: Column) -> Column:
 
 
 def money(value: Column) -> Column:
-    """Exact cents: sums of it do not depend on row order, unlike sums of doubles."""
-    return value.try_cast("decimal(18,2)")
+    """Exact cents, up to 26 digits before the point: sums of it do not depend on row order, unlike sums of doubles."""
+    return value.try_cast("decimal(28,2)")
 
 
 def total_money(value: Column) -> Column:

@@ -44,6 +44,12 @@ def plain_phone(value: Column) -> Column:
     return F.replace(normal_phone(value), F.lit(" "), F.lit(""))
 
 
+def stripped_phone(value: Column) -> Column:
+    """A number without blanks, dots, dashes and French prefix; anything else in it stays, so none is lost."""
+    national = F.regexp_replace(clean_text(value), r"^(\+33\s*\(0\)|\+33|0033)", "0")
+    return F.regexp_replace(national, r"[\s.-]", "")
+
+
 def prefixed(prefix: str, value: Column) -> Column:
     """Source prefix in front of an id; a null id stays null."""
     return F.concat(F.lit(prefix), value)

@@ -5,17 +5,23 @@ that tie are identical. No task ever receives all rows of one key, however many
 
 - ``keep_first`` filters on a row number, which Spark turns into a limit per key on the map side, before the
   shuffle.
-- ``mark_repeats`` ranks the rows of a key within their input partition first. Only the first row of each
-  partition meets those of the others; every other row is known to be a repeat by then.
+- ``mark_repeats`` shuffles once, by key and salt. Only keys that hold a stated share of all rows have more than
+  one salt; the first row of such a key is found beforehand, by an aggregate that is combined on the map side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_RANK, _PART, _GROUP, _FIRST = "_rank", "_part", "_group", "_first"
+from tandem.operators.joins import hot_keys
+
+_RANK, _KEY, _HOT, _SALT, _BEST = "_rank", "_key", "_hot", "_salt", "_best"
+#: Parts into which the rows of a hot key are dealt.
+SPREAD = 256
 REPEAT = "doublon"
 
 
@@ -50,28 +56,36 @@ def mark_repeats(
     order_by: Sequence[str | Column] = (),
     ignore_case: bool = True,
     nulls_differ: bool = False,
+    share: float = 0.001,
 ) -> DataFrame:
     """``df`` plus the column ``doublon``: false for the first row of each key, true for every later one.
 
-    With ``nulls_differ`` a row that lacks a key repeats nothing. The partition a row is read in is the same
-    whenever a task is run again, so marks survive a lost executor.
+    With ``nulls_differ`` a row that lacks a key repeats nothing, and is not shuffled at all. The salt is a hash of the
+    whole row, so marks survive a lost executor and rows that are the same meet.
     """
-    key, order = _keys(df, keys, ignore_case), _whole_row(df, order_by)
-    known = F.lit(True)
+    order = _whole_row(df, order_by)
     if nulls_differ:
-        for k in keys:
-            known = known & F.col(k).isNotNull()
-
-    within = Window.partitionBy(*key, _PART).orderBy(*order)
-    across = Window.partitionBy(*key, _GROUP).orderBy(*order)
-    ranked = (
-        df.withColumn(_PART, F.spark_partition_id())
-        .withColumn(_FIRST, F.row_number().over(within) == 1)
-        .withColumn(_GROUP, F.when(F.col(_FIRST) & known, F.lit(-1)).otherwise(F.col(_PART)))
-        .withColumn(_RANK, F.row_number().over(across))
-    )
-    survives = ~known | (F.col(_FIRST) & (F.col(_RANK) == 1))
-    return ranked.select(*df.columns, (~survives).alias(REPEAT))
+        some = reduce(and_, (F.col(k).isNotNull() for k in keys))
+        alone = df.filter(~some).withColumn(REPEAT, F.lit(False))
+        return mark_repeats(df.filter(some), keys, order_by, ignore_case).union(alone)
+
+    rows = df.withColumn(_KEY, F.xxhash64(*_keys(df, keys, ignore_case)))
+    hot = F.broadcast(hot_keys(rows.select(_KEY), _KEY, share, 1).withColumn(_HOT, F.lit(True)))
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int")
+    dealt = rows.join(hot, _KEY, "left").withColumn(_SALT, F.when(F.col(_HOT), spread).otherwise(0))
+    # The first row of each hot key, by the rows of hot keys alone: the order columns, which identify it, and its salt.
+    names = [f"_o{i}" for i in range(len(order))]
+    ordered = F.struct(*(o.alias(n) if isinstance(o, Column) else F.col(o).alias(n) for o, n in zip(order, names)), F.col(_SALT).alias(_SALT))
+    key = [k.alias(f"_k{i}") for i, k in enumerate(_keys(df, keys, ignore_case))]
+    best = rows.join(hot, _KEY).withColumn(_SALT, spread).groupBy(*key).agg(F.min(ordered)[_SALT].alias(_BEST))
+    best = F.broadcast(best)  # one row for each hot key; for each key that shares its hash, at worst
+
+    within = Window.partitionBy(*_keys(df, keys, ignore_case), _SALT).orderBy(*order)
+    ranked = dealt.withColumn(_RANK, F.row_number().over(within))
+    same = reduce(and_, (k.eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(_keys(df, keys, ignore_case))))
+    marked = ranked.join(best, same, "left")
+    survives = (F.col(_RANK) == 1) & F.coalesce(F.col(_SALT) == F.col(_BEST), F.lit(True))
+    return marked.select(*df.columns, (~survives).alias(REPEAT))
 
 
 def split_duplicates(
@@ -90,10 +104,11 @@ def mark_merged(
 ) -> DataFrame:
     """Mark the duplicates between sources: rows that agree in ``on``, without regard to case.
 
-    The source named first in ``priority`` survives. Rows without a value in ``on`` all do, since nothing
-    says whom they stand for.
+    The source named first in ``priority`` survives; sources it doesn't name come after all that it does. Rows
+    without a value in ``on`` all survive, since nothing says whom they stand for.
     """
-    rank = F.array_position(F.array(*(F.lit(p) for p in priority)), F.col(source))
+    place = F.array_position(F.array(*(F.lit(p) for p in priority)), F.col(source))
+    rank = F.when(place > 0, place).otherwise(len(priority) + 1)
     return mark_repeats(df, [on], [rank, *then_by], nulls_differ=True)
 
 

@@ -24,7 +24,8 @@ def stratified_folds(
 
     The order is that of ``md5(ids, seed)``, so folds do not depend on partitioning; ``ids`` must tell rows
     apart. Rows are numbered inside hash buckets, thousands of small tasks per label, and the bucket counts
-    before each give the offset: the numbers equal those of one long row count per label.
+    before each give the offset: the numbers equal those of one long row count per label. Rows without a label
+    are dealt out like those of a label of their own.
     """
     digest = F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in ids), F.lit(str(seed))))
     rows = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, _HEX_DIGITS))
@@ -32,14 +33,14 @@ def stratified_folds(
     sizes = rows.groupBy(label, "_bucket").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        label, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+        F.col(label).alias("_of"), F.col("_bucket").alias("_in"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     inside = Window.partitionBy(label, "_bucket").orderBy("_digest", *ids)
     return (
         rows.withColumn("_place", F.row_number().over(inside))
-        .join(F.broadcast(offsets), [label, "_bucket"])
+        .join(F.broadcast(offsets), F.col(label).eqNullSafe(F.col("_of")) & (F.col("_bucket") == F.col("_in")))
         .withColumn(fold, ((F.col("_offset") + F.col("_place")) % folds).cast("int"))
-        .drop("_digest", "_bucket", "_place", "_offset")
+        .drop("_digest", "_bucket", "_place", "_of", "_in", "_offset")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tandem.operators.summaries import count_tables
 
@@ -20,6 +20,19 @@ def step_durations(timings: DataFrame) -> DataFrame:
     )
 
 
+def _one_order(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """The order columns as one value. A time and a whole number become a decimal, which keeps an aggregate hash-based;
+    other columns a struct, for which Spark sorts."""
+    if len(order_by) == 1:
+        return F.col(order_by[0])
+    kinds = dict(df.dtypes)
+    if [kinds[c].split("_")[0] for c in order_by] in (["timestamp", "bigint"], ["timestamp", "int"]):
+        moment, number = order_by
+        micros = F.unix_micros(F.col(moment).cast("timestamp")).cast("decimal(38,0)")
+        return micros * F.lit(str(10**19)).cast("decimal(20,0)") + F.col(number).cast("decimal(20,0)")
+    return F.struct(*order_by)
+
+
 def slow_steps(
     timings: DataFrame,
     order_by: Sequence[str] = ("date",),
@@ -31,13 +44,13 @@ def slow_steps(
 
     The mean of the earlier ones comes from the total less the last one, so each step needs one aggregate
     that is combined on the map side; a step with a third of all measures is no larger task than another.
-    Steps with fewer than ``measures`` values have no habit to compare with: not slow, no figures.
+    A run without a duration is no measure. Steps with fewer than ``measures`` of them have no habit to compare
+    with: not slow, no figures.
     """
     seconds = F.col("duree_s").cast("decimal(18,6)")
-    # A single order column keeps the aggregate hash-based; a struct would make Spark sort.
-    latest = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
+    latest = F.when(seconds.isNotNull(), _one_order(timings, order_by))  # a null order is never the highest
     per_step = timings.groupBy("etape").agg(
-        F.count("*").alias("nb_mesures"),
+        F.count(seconds).alias("nb_mesures"),
         F.sum(seconds).alias("total"),
         F.max_by(seconds, latest).alias("last"),
     )

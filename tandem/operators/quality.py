@@ -13,10 +13,10 @@ from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tandem.functions.amounts import clean_amount
+from tandem.functions.amounts import clean_amount, money
 from tandem.functions.dates import is_iso, normal_date, parse_date
-from tandem.functions.text import clean_email, clean_text, is_postcode, plain_phone
-from tandem.operators.dedup import folded, keep_first
+from tandem.functions.text import clean_email, clean_text, is_postcode, stripped_phone
+from tandem.operators.dedup import folded
 
 REJECT, CORRECT, FLAG = "reject", "correct", "flag"
 
@@ -34,7 +34,7 @@ class Rule(NamedTuple):
 
 #: Form of a value -> how it is made. Each form a table's rules need is made once per row.
 FORMS: dict[str, Callable[[Column], Column]] = {
-    "text": clean_text, "date": parse_date, "amount": clean_amount, "email": clean_email, "phone": plain_phone,
+    "text": clean_text, "date": parse_date, "amount": clean_amount, "email": clean_email, "phone": stripped_phone,
 }
 
 
@@ -58,7 +58,9 @@ def _off_form(column: str, form: str) -> Column:
 CHECKS: dict[str, Check] = {
     "empty": Check(("text",), lambda c, _: _form("text", c).isNull()),
     "bad_date": Check(("date",), lambda c, _: _form("date", c).isNull()),
-    "bad_amount": Check(("amount",), lambda c, _: F.coalesce(_form("amount", c) < 0, F.lit(True))),
+    "bad_amount": Check(
+        ("amount",), lambda c, _: F.coalesce((_form("amount", c) < 0) | money(_form("amount", c)).isNull(), F.lit(True))
+    ),
     "not_a_number": Check(("amount",), lambda c, _: _form("amount", c).isNull()),
     "other_word": Check(("text",), lambda c, words: ~F.coalesce(_form("text", c).isin(*words), F.lit(False))),
     "bad_postcode": Check(("text",), lambda c, _: ~F.coalesce(is_postcode(_form("text", c)), F.lit(False))),
@@ -76,9 +78,9 @@ CHECKS: dict[str, Check] = {
 #: Check -> corrected value, for the rules of severity "correct".
 FIXES: dict[str, Callable[[Column, Any, str | None], Column]] = {
     "empty": lambda v, _, placeholder: F.coalesce(clean_text(v), F.lit(placeholder).cast("string")),
-    "misspelt_email": lambda v, *_: clean_email(v),
+    "misspelt_email": lambda v, *_: F.replace(v, F.lit("_at_"), F.lit("@")),
     "date_form": lambda v, with_time, _: normal_date(v, with_time),
-    "phone_form": lambda v, *_: plain_phone(v),
+    "phone_form": lambda v, *_: stripped_phone(v),
 }
 
 
@@ -118,6 +120,9 @@ def split_rejected(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 def correct_rows(valid: DataFrame, rules: Sequence[Rule], placeholder: str | None = None) -> DataFrame:
     """Repaired values for the rules of severity "correct"; the lists of rule names stay for tracing.
 
+    A repair never takes a value away: an address that stays wrong is kept under its flag, a foreign number loses only
+    its separators.
+
     Several rules on one column are applied in their order: the empty rule last puts the placeholder.
     """
     fixed: dict[str, Column] = {}
@@ -135,20 +140,30 @@ def quality_report(
     repeats of a key and the rows that break a rule of severity "reject". "After" counts accepted rows that
     keep a flag, since corrections have been made by then.
     """
-    bad = breaks(rules, REJECT)
-    per_key = add_forms(df, rules).groupBy(folded(df, key, ignore_case=True).alias("key")).agg(
-        F.count("*").alias("n"), F.count_if(breaks(rules, REJECT, CORRECT, FLAG)).alias("broken")
+    # Rules are evaluated once a row, and one aggregate by key finds both the counts and the first row's verdicts.
+    verdicts = {
+        "_any": breaks(rules, REJECT, CORRECT, FLAG),
+        "_refused": breaks(rules, REJECT),
+        "_flagged": ~breaks(rules, REJECT) & breaks(rules, FLAG),
+    }
+    order = [*order_by, *(c for c in df.columns if c not in order_by)]
+    judged = add_forms(df, rules).select(
+        folded(df, key, ignore_case=True).alias("_key"),
+        F.struct(*order, verdicts["_refused"].alias("_refused"), verdicts["_flagged"].alias("_flagged")).alias("_row"),
+        verdicts["_any"].alias("_any"),
     )
-    before = F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("broken"))
-    kept = keep_first(df, [key], order_by, ignore_case=True)
-    first_rows = add_forms(kept, [r for r in rules if r.severity != CORRECT]).agg(
-        F.struct(F.count_if(bad).alias("refused"), F.count_if(~bad & breaks(rules, FLAG)).alias("flagged"))
+    per_key = judged.groupBy("_key").agg(
+        F.count("*").alias("n"), F.count_if("_any").alias("broken"), F.min("_row").alias("_first")
     )
+    before = F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("broken"))
     counts = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeats"),
         F.coalesce(F.sum(before), F.lit(0)).alias("before"),
-    ).withColumn("first", first_rows.scalar())
+        F.struct(
+            F.count_if("_first._refused").alias("refused"), F.count_if("_first._flagged").alias("flagged")
+        ).alias("first"),
+    )
 
     def rate(n: Column) -> Column:
         share = n.cast("decimal(18,0)") * 100 / F.nullif(F.col("total"), F.lit(0)).cast("decimal(18,0)")

@@ -24,6 +24,23 @@ def extraction_control(sources: Mapping[str, DataFrame], extracted: Mapping[str,
     )
 
 
+def counted_control(name: str, entered: int, extracted: DataFrame) -> DataFrame:
+    """The same for one table, with the rows counted as they entered."""
+    gap = F.col("rows") - entered
+    return count_tables({name: extracted}).select(
+        "table",
+        F.lit(entered).cast("long").alias("nb_lignes_source"),
+        F.col("rows").alias("nb_lignes_extraites"),
+        gap.alias("ecart"),
+        F.when(gap == 0, "OK").otherwise("KO").alias("statut"),
+    )
+
+
+def sent_control(topic: str, attempted: int, sent: int) -> dict[str, object]:
+    """A row of the publishing journal."""
+    return {"topic": topic, "tentes": attempted, "reussis": sent, "echoues": attempted - sent}
+
+
 def fusion_control(
     first: Mapping[str, DataFrame], second: Mapping[str, DataFrame], fused: Mapping[str, DataFrame]
 ) -> DataFrame:

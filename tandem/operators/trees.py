@@ -61,6 +61,18 @@ def leaf_rules(nodes: Sequence[Node], features: Sequence[str]) -> list[tuple[int
     return sorted(found)
 
 
+def apply_scenarios(df: DataFrame, scenarios: DataFrame, ids: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Rows under each of their scenarios: a scenario names a row by its ids and gives the features it changes.
+
+    Features that the table lacks or leaves null keep their value; its other columns are added.
+    """
+    given = [f for f in features if f in scenarios.columns]
+    renamed = scenarios.withColumnsRenamed({f: f"_{f}" for f in given})
+    joined = df.join(renamed, list(ids))
+    changed = {f: F.coalesce(F.col(f"_{f}").cast(dict(df.dtypes)[f]), F.col(f)) for f in given}
+    return joined.withColumns(changed).drop(*(f"_{f}" for f in given))
+
+
 def add_score(df: DataFrame, nodes: Sequence[Node], features: Sequence[str]) -> DataFrame:
     """``proba_fraude`` and the verdict ``suspect``: 1 above one half; a tie goes to 0, as in the model."""
     return df.withColumn("proba_fraude", tree_score(nodes, features)).withColumn(

@@ -1,6 +1,6 @@
 """The jobs of the pipeline, from delivered files to scored claims, each a function of paths.
 
-    extract -> clean -> fuse -> publish -> (landing) -> build_dataset -> train_and_score -> key_figures
+    extract -> judge -> clean -> fuse -> publish -> (landing) -> build_dataset -> train_and_score -> key_figures
 
 Every job reads tables, runs operators and writes tables; nothing but counts comes back to the driver.
 """
@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tandem import catalog
 from tandem.operators import folds, quality, reconcile, reports, summaries
-from tandem.operators.dedup import REPEAT, keep_first, mark_repeats
+from tandem.functions.vocab import translate_channels
+from tandem.operators.dedup import REPEAT, mark_merged, mark_repeats
 from tandem.plans import dataset, fuse, train
+from tandem.session import store
 from tandem.sources import files, models
 from tandem.streaming import topics
 
@@ -22,13 +24,16 @@ from tandem.streaming import topics
 def extract(
     spark: SparkSession, name: str, source: str, schema: T.StructType, target: str, journal: str, sep: str = ","
 ) -> DataFrame:
-    """Copy a delivered file to a typed table, rows that do not fit to ``<target>_rejets``; control the counts."""
-    valid, rejects = files.read_typed_table(spark, source, schema, sep)
+    """Copy a delivered file to a typed table, rows that do not fit to ``<target>_rejets``; control the counts.
+
+    The file is parsed once, and the lines are counted as they enter.
+    """
+    entered = Observation(f"extract {name}")
+    lines = files.judge_lines(spark, source, schema, sep).observe(entered, F.count(F.lit(1)).alias("n"))
+    valid, rejects = files.split_judged(store(lines, "extract-lines"), schema)
     files.write_table(valid, target)
     files.write_table(rejects, f"{target}_rejets")
-    control = reconcile.extraction_control(
-        {name: files.read_text_table(spark, source, sep)}, {name: files.read_table(spark, target)}
-    )
+    control = reconcile.counted_control(name, entered.get["n"], files.read_table(spark, target))
     files.append_journal(control, journal)
     return control
 
@@ -42,22 +47,37 @@ def clean(spark: SparkSession, table: str, source: str, target: str) -> DataFram
 
 
 def judge(spark: SparkSession, name: str, source: str, valid: str, rejected: str, journal: str) -> None:
-    """Apply the written rules of a source table: accepted and corrected rows, rejected rows, one report row."""
+    """Apply the written rules of a source table: accepted and corrected rows, rejected rows, one report row.
+
+    ``clean`` goes on from the accepted rows. Repeats of a key are left to it, which keeps them in a folder.
+    """
     key, rules = quality.SOURCE_RULES[name]
     rows = files.read_table(spark, source)
-    accepted, refused = quality.split_rejected(quality.check_rows(keep_first(rows, [key], ignore_case=True), rules))
-    files.write_table(quality.correct_rows(accepted, rules), valid)
+    accepted, refused = quality.split_rejected(store(quality.check_rows(rows, rules), "checked"))
+    files.write_table(quality.correct_rows(accepted, rules, catalog.PLACEHOLDER).select(rows.columns), valid)
     files.write_table(refused, rejected)
     files.append_journal(quality.quality_report(rows, name, key, rules), journal)
 
 
 def fuse_sources(spark: SparkSession, table: str, first: str, second: str, target: str, journal: str) -> DataFrame:
-    """Map both cleaned source tables to the common model, unite them and control the counts."""
+    """Map both cleaned source tables to the common model, unite them and control the counts.
+
+    Clients of both companies, known by their address, become one row; the others go to ``<target>_doublons``.
+    Claims of the second company get numbers after those of the first, payment channels one set of words.
+    """
     sides = [files.read_table(spark, p).filter(~F.col(REPEAT).cast("boolean")).drop(REPEAT) for p in (first, second)]
     to_a, to_b = fuse.MAPPINGS[table]
     united = fuse.union_sources(to_a(sides[0]), to_b(sides[1]))
     if table == "contracts":
         united = fuse.fill_premiums(united)
+    if table == "payments":
+        united = translate_channels(united)
+    if table == "claims":
+        united = fuse.offset_claim_numbers(united)
+    if table == "clients":
+        marked = store(mark_merged(united, "email", ["A", "B"], ["client_id"]), "merged")
+        files.write_table(marked.filter(F.col(REPEAT)).drop(REPEAT), f"{target}_doublons")
+        united = marked.filter(~F.col(REPEAT)).drop(REPEAT)
     files.write_table(united, target)
     control = reconcile.fusion_control({table: sides[0]}, {table: sides[1]}, {table: files.read_table(spark, target)})
     files.append_journal(control, journal)
@@ -65,10 +85,21 @@ def fuse_sources(spark: SparkSession, table: str, first: str, second: str, targe
 
 
 def publish(
-    spark: SparkSession, entity: str, source: str, fmt: str, options: Mapping[str, str], zero_premiums: bool = False
+    spark: SparkSession,
+    entity: str,
+    source: str,
+    fmt: str,
+    options: Mapping[str, str],
+    zero_premiums: bool = False,
+    journal: str | None = None,
 ) -> int:
-    """Publish a fused table as keyed messages; the number sent."""
-    return topics.publish(topics.messages_of(files.read_table(spark, source), entity, zero_premiums), fmt, options)
+    """Publish a fused table as keyed messages; the number sent. A journal gets the rows attempted, sent and lost."""
+    rows = files.read_table(spark, source)
+    sent = topics.publish(topics.messages_of(rows, entity, zero_premiums), fmt, options)
+    if journal is not None:
+        row = reconcile.sent_control(topics.topic_name("assurance", entity), rows.count(), sent)
+        files.append_journal(spark.createDataFrame([row], "topic string, tentes long, reussis long, echoues long"), journal)
+    return sent
 
 
 def build_dataset(claims: DataFrame, contracts: DataFrame, payments: DataFrame, target: str) -> DataFrame:
@@ -108,6 +139,6 @@ def key_figures(tables: Mapping[str, DataFrame], predictions: DataFrame, thresho
 
 def export(tables: Mapping[str, DataFrame], path: str, also: Sequence[str] = ()) -> None:
     """Publish reduced copies of the tables, and spreadsheet files of the tables named in ``also``."""
-    files.export_tables(tables, catalog.PUBLIC_COLUMNS, path)
+    files.export_tables(tables, {**catalog.PUBLIC_COLUMNS, "predictions_fraude": files.ALL_COLUMNS}, path)
     for name in also:
         files.write_spreadsheet(tables[name], f"{path}/{name}_csv")

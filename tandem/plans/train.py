@@ -57,10 +57,10 @@ def out_of_fold_predictions(
 ) -> DataFrame:
     """Each row predicted by a tree that has not seen its fold.
 
-    The folds are stored once, since every fit reads them several times.
+    The folds are stored once, a folder each, since every fit reads them several times and each test one of them.
     """
     require_both_classes(training)
-    dealt = store(stratified_folds(training, ids, folds=folds), "folds")
+    dealt = store(stratified_folds(training, ids, folds=folds), "folds", by="pli")
     parts = [
         model_pipeline().fit(dealt.filter(F.col("pli") != k)).transform(dealt.filter(F.col("pli") == k))
         for k in range(folds)

@@ -50,11 +50,11 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tandem-{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, in a folder for each value of ``by`` if given, and read it back.
 
     Used where several jobs read one result: it cuts the lineage, and a lost executor costs no recompute.
     """
     path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -72,12 +72,17 @@ def replay(
     """
     spark, path = messages.sparkSession, f"{root}/{entity}/v{version}"
     land_topic(messages, entity, path, f"{root}/_checkpoints/{entity}/v{version}", None, secret).awaitTermination()
+    switch_to(spark, entity, root, version)
+    return path
+
+
+def switch_to(spark: SparkSession, entity: str, root: str, version: int) -> None:
+    """Make a landed version the one that readers see."""
     switch = spark.createDataFrame([(entity, version)], "entity string, version int")
     switch.withColumn("since", F.current_timestamp()).write.mode("append").parquet(f"{root}/{_ACTIVE}")
-    return path
 
 
 def active_path(spark: SparkSession, entity: str, root: str) -> str:
-    """Folder of the version switched to last."""
+    """Folder of the version switched to last, be it an older one."""
     versions = spark.read.parquet(f"{root}/{_ACTIVE}").filter(F.col("entity") == entity)
-    return f"{root}/{entity}/v{versions.agg(F.max('version')).first()[0]}"
+    return f"{root}/{entity}/v{versions.agg(F.max_by('version', 'since')).first()[0]}"

@@ -180,6 +180,47 @@ FROM {events}""",
 }
 
 
+# Cases planted beside the source tables, each for one rule of an operator.
+RAW |= {
+    # Amounts that are no numbers to add up, and one too large for most columns of cents.
+    "odd_amounts": """
+SELECT l_orderkey AS id, CASE l_linenumber WHEN 1 THEN 'NaN' WHEN 2 THEN '-Infinity' WHEN 3 THEN '1e400'
+  WHEN 4 THEN CAST(l_orderkey AS STRING) || '0000000000000000' ELSE CAST(l_orderkey AS STRING) || '.25' END AS montant
+FROM {lineitem}""",
+    # Durations with gaps, some of them the last of their step.
+    "timing_gaps": """
+SELECT event_id, ts AS date, event_type AS etape,
+  CASE WHEN event_id % 3 = 0 OR event_type = 'error' AND event_id > 5 THEN NULL ELSE value END AS duree_s
+FROM {events}""",
+    # Claims whose description runs over two lines.
+    "long_claims": """
+SELECT CAST(l_orderkey * 10 + l_linenumber AS STRING) AS ab_claim_id, 'AB-' || CAST(l_orderkey AS STRING) AS ab_policy_number,
+  'Dossier "' || CAST(l_suppkey AS STRING) || '";' || CASE WHEN l_linenumber = 2 THEN chr(13) || chr(10) ELSE chr(10) END
+  || 'suite' AS ab_description
+FROM {lineitem} WHERE l_returnflag = 'R'""",
+    # Clients of three companies, one of which no list names; some numbers are foreign or short, some addresses wrong.
+    "three_companies": """
+SELECT CAST(c_custkey AS STRING) AS client_id, CASE c_custkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'C' ELSE 'B' END AS source,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 'Client' || CAST(CAST(FLOOR(c_custkey / 4) AS BIGINT) AS STRING) || '@voila.fr' END AS email
+FROM {customer}""",
+    # Scenarios for single claims: another amount, another premium.
+    "scenarios": """
+SELECT l_orderkey * 10 + l_linenumber AS sinistre_id, 'AB-' || CAST(l_orderkey AS STRING) AS contrat_id,
+  'essai ' || CAST(l_linenumber AS STRING) AS scenario, CASE WHEN l_linenumber = 1 THEN l_extendedprice * 2 END AS montant_estime,
+  CASE WHEN l_linenumber = 2 THEN 250000.5 END AS prime_annuelle
+FROM {lineitem} WHERE l_returnflag = 'R' AND l_linenumber < 4""",
+    # Payments of which four in seven are for one contract, and some for none.
+    "hot_payments": """
+SELECT CAST(l_orderkey * 10 + l_linenumber AS STRING) AS paiement_id,
+  CASE WHEN l_linenumber < 4 THEN 'AB-1' WHEN l_linenumber = 7 THEN NULL ELSE 'AB-' || CAST(l_orderkey AS STRING) END AS contrat_id
+FROM {lineitem}""",
+}
+_ODD_PHONES = """CASE WHEN c_custkey % 31 = 0 THEN '+32 2 555 12 ' || CAST(c_custkey % 90 + 10 AS STRING)
+    WHEN c_custkey % 37 = 0 THEN '06 11' WHEN c_custkey % 43 = 0 THEN 'poste 4' ELSE """
+for _name in ("A_clients", "B_clients"):
+    RAW[_name] = RAW[_name].replace(_PHONE_SHAPES, f"{_ODD_PHONES}{_PHONE_SHAPES} END")
+
+
 def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A derived source table, as a Spark plan over the given Parquet tables it names."""
     used = {

@@ -42,6 +42,14 @@ def _phone(x: str) -> str:
     return f"CASE WHEN length({d}) = 10 AND substr({d}, 1, 1) = '0' THEN {pairs} END"
 
 
+def _stripped(x: str) -> str:
+    return rf"regexp_replace(regexp_replace({_t(x)}, '^(\+33\s*\(0\)|\+33|0033)', '0'), '[ \t\n\r.-]', '', 'g')"
+
+
+def _finite(x: str) -> str:
+    return f"CASE WHEN isfinite(TRY_CAST({x} AS DOUBLE)) THEN TRY_CAST({x} AS DOUBLE) END"
+
+
 def _digits(x: str) -> str:
     return f"replace({_phone(x)}, ' ', '')"
 
@@ -406,7 +414,8 @@ SELECT ab_claim_id, ab_policy_number, nullif(ab_date_sinistre, '') AS ab_date_si
         f"SELECT '{name}' AS \"table\", count(*) AS nb_lignes_source, count(*) - {lost} AS nb_lignes_extraites, "
         f"- ({lost}) AS ecart, CASE WHEN {lost} = 0 THEN 'OK' ELSE 'KO' END AS statut FROM raw_{t}"
         for name, t, lost in (
-            ("AP_USERS", "B_clients", "0"),
+            ("AB_CLIENT", "A_clients", "0"), ("AB_CONTRAT", "A_contracts", "0"), ("AB_SINISTRE", "A_claims", "0"),
+            ("AB_PAIEMENT", "A_payments", "0"), ("AP_USERS", "B_clients", "0"),
             ("AP_CONTRACTS", "B_contracts", "count(*) FILTER (ap_monthly_premium = 'n/a')"),
             ("AP_CLAIMS", "B_claims", "0"), ("AP_PAYMENTS", "B_payments", "0"),
         )
@@ -539,7 +548,7 @@ def _off_form(c: str) -> str:
 
 
 def _off_phone(c: str) -> str:
-    return f"({_t(c)} IS NOT NULL AND coalesce({_digits(c)} <> {_t(c)}, true))"
+    return f"({_t(c)} IS NOT NULL AND {_stripped(c)} <> {_t(c)})"
 
 
 def _off_zip(c: str) -> str:
@@ -655,7 +664,7 @@ def _any(name: str, *severities: str) -> str:
 def _listed(name: str, severity: str) -> str:
     """Names of the broken rules of one severity, in the order of the rules, joined by commas."""
     arms = [f"CASE WHEN {sql} THEN '{rule}' END" for rule, (s, sql) in _RULES[name].items() if s == severity]
-    return f"concat_ws(',', {', '.join(arms)})"
+    return f"concat_ws(',', {', '.join(arms)})" if arms else "''"
 
 
 def _report(name: str) -> str:
@@ -682,14 +691,107 @@ SELECT ab_client_id, {_listed("AB_CLIENT", "reject")} AS motifs FROM raw_A_clien
 WHERE {_any("AB_CLIENT", "reject")}"""
 _TEMPLATES["corrected_clients"] = f"""
 SELECT ab_client_id, {_day("ab_date_naissance")} AS ab_date_naissance,
-  CASE WHEN {_blank("ab_email")} THEN 'NON_RENSEIGNE' ELSE coalesce({_email("ab_email")}, 'NON_RENSEIGNE') END
-    AS ab_email,
-  coalesce({_digits("ab_telephone")}, 'NON_RENSEIGNE') AS ab_telephone,
+  coalesce(replace({_t("ab_email")}, '_at_', '@'), 'NON_RENSEIGNE') AS ab_email,
+  coalesce({_stripped("ab_telephone")}, 'NON_RENSEIGNE') AS ab_telephone,
   coalesce({_t("ab_adresse")}, 'NON_RENSEIGNE') AS ab_adresse, {_moment("ab_date_creation")} AS ab_date_creation,
   {_listed("AB_CLIENT", "flag")} AS anomalies
 FROM raw_A_clients WHERE NOT {_any("AB_CLIENT", "reject")}"""
 
 
+#: Columns with a stated repair: dates to days or moments, addresses, telephone numbers; all others get the placeholder.
+_DAYS = (
+    "ab_date_naissance ab_date_debut ab_date_fin ab_date_paiement ap_birth_date ap_incident_date"
+).split()
+_ADDRESSES, _PHONES = ("ab_email", "ap_mail_address"), ("ab_telephone", "ap_phone_number")
+
+
+def _repaired(column: str, rules: set[str]) -> str:
+    if "date_form" in rules:
+        return _day(column) if column in _DAYS else _moment(column)
+    value = _t(column)
+    if column in _ADDRESSES:
+        value = f"replace({value}, '_at_', '@')"
+    if column in _PHONES:
+        value = _stripped(column)
+    return f"coalesce({value}, 'NON_RENSEIGNE')"
+
+
+def _corrected(name: str) -> str:
+    repairs: dict[str, set[str]] = {}
+    for rule, (severity, _) in _RULES[name].items():
+        if severity == "correct":
+            column, check = rule.split(":")
+            repairs.setdefault(column, set()).add(check)
+    values = ", ".join(f"coalesce({_repaired(c, repairs[c])}, '')" for c in sorted(repairs))
+    table = _SOURCE_NAMES[name]
+    return (
+        f"SELECT '{name}' AS \"table\", {_SOURCE_KEYS[table]} AS cle, concat_ws('|', {values}) AS valeurs, "
+        f"{_listed(name, 'flag')} AS anomalies FROM raw_{table} WHERE NOT {_any(name, 'reject')}"
+    )
+
+
+_TEMPLATES["corrected_rows"] = " UNION ALL ".join(map(_corrected, _RULES))
+_TEMPLATES["rejected_rows"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", {_SOURCE_KEYS[_SOURCE_NAMES[name]]} AS cle, {_listed(name, 'reject')} AS motifs "
+    f"FROM raw_{_SOURCE_NAMES[name]} WHERE {_any(name, 'reject')}"
+    for name in _RULES
+)
+_TEMPLATES["folds_of_all_claims"] = """
+SELECT sinistre_id, contrat_id, est_suspect, CAST(row_number() OVER (PARTITION BY est_suspect
+  ORDER BY md5(concat_ws('|', sinistre_id, contrat_id, '42')), sinistre_id, contrat_id) % 5 AS INT) AS pli
+FROM (SELECT *, CASE WHEN fraud_score IS NULL THEN NULL WHEN TRY_CAST(fraud_score AS DOUBLE) >= 70 THEN 1 ELSE 0 END
+  AS est_suspect FROM dataset)"""
+_TEMPLATES["merged_companies"] = """
+SELECT *, email IS NOT NULL AND row_number() OVER (PARTITION BY lower(email)
+  ORDER BY CASE source WHEN 'B' THEN 1 WHEN 'A' THEN 2 ELSE 3 END, client_id) > 1 AS doublon FROM raw_three_companies"""
+_TEMPLATES["slow_steps_with_gaps"] = """
+SELECT etape, n AS nb_mesures, CASE WHEN n >= 4 THEN last END AS derniere_s, CASE WHEN n >= 4 THEN mean END AS moyenne_avant_s,
+  coalesce(n >= 4 AND last > 1.5 * mean AND last > 0.5, false) AS ralenti
+FROM (SELECT etape, count(s) AS n, CAST(max_by(s, (date, event_id)) FILTER (s IS NOT NULL) AS DOUBLE) AS last,
+    CAST(sum(s) - max_by(s, (date, event_id)) FILTER (s IS NOT NULL) AS DOUBLE) / nullif(count(s) - 1, 0) AS mean
+  FROM (SELECT *, CAST(duree_s AS DECIMAL(18,6)) AS s FROM raw_timing_gaps) GROUP BY etape)"""
+_TEMPLATES["odd_amounts"] = f"""
+SELECT count(*) AS nb, count({_finite("montant")}) AS nb_lus,
+  CAST(sum(CAST({_finite("montant")} AS DECIMAL(28,2))) AS DOUBLE) AS total FROM raw_odd_amounts"""
+_TEMPLATES["rows_with_line_breaks"] = r"""
+SELECT 'garde' AS lecture, ab_claim_id, ab_policy_number, ab_description FROM raw_long_claims
+UNION ALL SELECT 'espace', ab_claim_id, ab_policy_number,
+  replace(replace(ab_description, chr(13) || chr(10), ' '), chr(10), ' ') FROM raw_long_claims"""
+_TEMPLATES["landed_after_switch_back"] = "SELECT g.* FROM good_messages g WHERE CAST(paiement_id AS BIGINT) % 2 = 0"
+_TEMPLATES["payments_of_a_hot_contract"] = """
+SELECT p.contrat_id, p.paiement_id, c.client_id, n.nb_paiements FROM raw_hot_payments p
+LEFT JOIN (SELECT ab_policy_number, max(ab_client_id) AS client_id FROM raw_A_contracts GROUP BY 1) c
+  ON p.contrat_id = c.ab_policy_number
+LEFT JOIN (SELECT contrat_id, count(*) AS nb_paiements FROM raw_hot_payments GROUP BY 1) n USING (contrat_id)"""
+
+
+_TEMPLATES["clients_fused_by_job"] = f"""
+SELECT client_id, email, source, email IS NOT NULL
+  AND row_number() OVER (PARTITION BY lower(email) ORDER BY source, client_id) > 1 AS doublon
+FROM (SELECT 'AB-' || ab_client_id AS client_id, ab_email AS email, 'A' AS source FROM ({_ranked("A_clients", "clean")}) WHERE rn = 1
+  UNION ALL SELECT 'AP-' || ap_user_id, ap_mail_address, 'B' FROM ({_ranked("B_clients", "clean")}) WHERE rn = 1)"""
+_TEMPLATES["claims_fused_by_job"] = f"""
+SELECT source, contrat_id, CASE source WHEN 'A' THEN n ELSE n + max(n) FILTER (source = 'A') OVER () END AS sinistre_id
+FROM (SELECT 'A' AS source, ab_policy_number AS contrat_id, TRY_CAST(ab_claim_id AS BIGINT) AS n
+    FROM ({_ranked("A_claims", "clean")}) WHERE rn = 1
+  UNION ALL SELECT 'B', ap_contract_ref, TRY_CAST(ap_sinistre_num AS BIGINT) FROM ({_ranked("B_claims", "clean")}) WHERE rn = 1)"""
+_TEMPLATES["what_if_scenarios"] = f"""
+SELECT sinistre_id, contrat_id, scenario, montant_estime, prime_annuelle, proba_fraude, suspect
+FROM ({_score("""(SELECT d.* REPLACE (coalesce(s.montant_estime, d.montant_estime) AS montant_estime,
+  coalesce(s.prime_annuelle, d.prime_annuelle) AS prime_annuelle), s.scenario
+  FROM dataset d JOIN raw_scenarios s USING (sinistre_id, contrat_id))""")})"""
+_TEMPLATES["rows_per_fixed_rule"] = """
+SELECT id, count(*) AS nb FROM (SELECT CASE WHEN p <= 250000 THEN CASE WHEN m <= 30000 THEN 2 ELSE 3 END
+  WHEN j <= 400.5 THEN CASE WHEN e <= 1.5 THEN 6 ELSE 7 END ELSE 8 END AS id
+  FROM (SELECT coalesce(prime_annuelle, 0) AS p, coalesce(montant_estime, 0) AS m, coalesce(jours_avant_sinistre, 0) AS j,
+    coalesce(nb_paiements_echoues, 0) AS e FROM unscored)) GROUP BY id"""
+_TEMPLATES["cross_validation_rows"] = """
+SELECT count(*) AS nb_lignes, count(*) FILTER (est_suspect = 1) AS nb_suspects, true AS parts_en_bornes FROM training"""
+_TEMPLATES["model_checks"] = """
+SELECT (SELECT count(*) FROM unscored) AS nb_scores, true AS probas_en_bornes, true AS verdicts_justes, 5 AS nb_importances,
+  true AS importances_somment_a_un, true AS arbre_binaire, true AS regle_unique, true AS parite, true AS relu_egal"""
+
+
 # --- Assembly -------------------------------------------------------------------------------------------
 def _with_tables(body: str) -> str:
     """Put the tables a query names in front of it, each after those it names itself."""

@@ -15,9 +15,9 @@ from tandem.functions import amounts, dates, text
 from tandem.functions.messages import bad_messages, from_message, good_messages
 from tandem.functions.vocab import translate_channels, translate_statuses
 from tandem.operators import (
-    clean, dedup, folds, metrics, monitor, quality, reconcile, reports, summaries, trees,
+    clean, dedup, folds, joins, metrics, monitor, quality, reconcile, reports, summaries, trees,
 )
-from tandem.plans import dataset, fuse, prepare, train
+from tandem.plans import dataset, fuse, jobs, prepare, train
 from tandem.session import store, work_folder
 from tandem.sources import files, models
 from tandem.streaming import landing, topics
@@ -110,6 +110,17 @@ def stored_dataset_counts(spark, sf):
     return spark.read.parquet(path).groupBy("note_connue", "est_suspect").agg(F.count("*").alias("nb"))
 
 
+@query
+def payments_of_a_hot_contract(spark, sf):
+    """Payments joined to contracts and their counts, with the rows of one contract spread over buckets."""
+    payments, contracts = raw(spark, sf, "hot_payments"), raw(spark, sf, "A_contracts")
+    rights = [
+        contracts.groupBy(F.col("ab_policy_number").alias("contrat_id")).agg(F.max("ab_client_id").alias("client_id")),
+        payments.groupBy("contrat_id").agg(F.count("*").alias("nb_paiements")),
+    ]
+    return joins.attach(payments, rights, "contrat_id", ["paiement_id"], share=0.05, at_least=1, spread=16)
+
+
 @query
 def payment_summary(spark, sf):
     return dataset.payment_summary(landed(spark, sf, "payments"))
@@ -154,6 +165,16 @@ def amounts_from_text(spark, sf):
     )
 
 
+@query
+def odd_amounts(spark, sf):
+    """Amounts that are no numbers are counted as such, and large ones take part in the total."""
+    amount = amounts.clean_amount(F.col("montant"))
+    rows = raw(spark, sf, "odd_amounts").select(amount.alias("montant"))
+    return rows.agg(
+        F.count("*").alias("nb"), F.count("montant").alias("nb_lus"), F.sum(amounts.money(F.col("montant"))).cast("double").alias("total")
+    )
+
+
 @query
 def client_statuses(spark, sf):
     return translate_statuses(landed(spark, sf, "clients")).select("client_id", "nom_prenom", "statut_client")
@@ -234,6 +255,12 @@ def merged_clients(spark, sf):
     return dedup.mark_merged(fused(spark, sf, "clients"), "email", ["A", "B"], ["client_id"])
 
 
+@query
+def merged_companies(spark, sf):
+    """Three companies, one of them not in the list: its clients never win over a listed one."""
+    return dedup.mark_merged(raw(spark, sf, "three_companies"), "email", ["B", "A"], ["client_id"])
+
+
 @query
 def repeated_claims(spark, sf):
     """The rejects of the duplicate split: every claim of A after the first with its number."""
@@ -361,6 +388,58 @@ def what_if_scores(spark, sf):
     )
 
 
+@query
+def what_if_scenarios(spark, sf):
+    """Claims rescored under the scenarios of a table, each of which gives some of the features."""
+    rows = train.model_input(claims_dataset(spark, sf))
+    changed = trees.apply_scenarios(rows, raw(spark, sf, "scenarios"), ["sinistre_id", "contrat_id"], catalog.FEATURES)
+    return trees.add_score(changed, FIXED_TREE, catalog.FEATURES).select(
+        "sinistre_id", "contrat_id", "scenario", "montant_estime", "prime_annuelle", "proba_fraude", "suspect"
+    )
+
+
+@query
+def rows_per_fixed_rule(spark, sf):
+    """Unscored claims that meet each rule; every claim meets one."""
+    rows = train.model_input(dataset.rows_to_predict(claims_dataset(spark, sf)))
+    met = [F.when(F.expr(rule), F.lit(i)) for i, rule, _ in trees.leaf_rules(FIXED_TREE, catalog.FEATURES)]
+    return rows.select(F.explode(F.array_compact(F.array(*met))).alias("id")).groupBy("id").agg(F.count("*").alias("nb"))
+
+
+@query
+def cross_validation_rows(spark, sf):
+    """What holds for any cross-validation: all rows and suspects are counted once, shares lie between 0 and 1."""
+    shares = F.col("precision_suspects").between(0, 1) & F.col("rappel_suspects").between(0, 1)
+    return train.cross_validate(training_table(spark, sf)).select("nb_lignes", "nb_suspects", shares.alias("parts_en_bornes"))
+
+
+@query
+def model_checks(spark, sf):
+    """What holds for any fitted tree, saved and loaded again."""
+    rows = training_table(spark, sf)
+    fresh, path = train.fit(rows), work_folder(spark, "model")
+    models.save_model(fresh, path)
+    loaded, nodes = models.load_model(path), models.nodes_of(models.read_nodes(spark, path))
+    rules = trees.leaf_rules(nodes, catalog.FEATURES)
+    met = sum((F.expr(rule).cast("int") for _, rule, _ in rules), F.lit(0))
+    shares = [r["importance"] for r in models.importances(loaded, catalog.FEATURES).collect()]
+    both = [train.predict(m, dataset.rows_to_predict(claims_dataset(spark, sf))) for m in (loaded, fresh)]
+    scored = both[0].withColumns({"compilee": trees.tree_score(nodes, catalog.FEATURES), "regles": met})
+    proba = F.col("proba_fraude")
+    changed = both[0].exceptAll(both[1]).limit(1).count()
+    return scored.agg(
+        F.count("*").alias("nb_scores"),
+        F.bool_and(proba.between(0, 1)).alias("probas_en_bornes"),
+        F.bool_and((proba > 0.5) == (F.col("suspect") == 1)).alias("verdicts_justes"),
+        F.lit(len(shares)).alias("nb_importances"),
+        F.lit(abs(sum(shares) - 1) < 1e-9).alias("importances_somment_a_un"),
+        F.lit(len(nodes) == 2 * len(rules) - 1).alias("arbre_binaire"),
+        F.bool_and(F.col("regles") == 1).alias("regle_unique"),
+        F.bool_and(F.abs(proba - F.col("compilee")) < 1e-6).alias("parite"),
+        F.lit(changed == 0).alias("relu_egal"),
+    )
+
+
 @query
 def tree_metrics(spark, sf):
     """Precision and recall of the fixed tree on the claims with a known score."""
@@ -384,6 +463,17 @@ def stratified_folds(spark, sf):
     )
 
 
+@query
+def folds_of_all_claims(spark, sf):
+    """Folds of scored and unscored claims alike: those without a label are dealt out too."""
+    rows = claims_dataset(spark, sf).withColumn(
+        "est_suspect", F.when(F.col("fraud_score").isNotNull(), amounts.suspect_label(F.col("fraud_score")))
+    )
+    return folds.stratified_folds(rows, ["sinistre_id", "contrat_id"], "est_suspect").select(
+        "sinistre_id", "contrat_id", "est_suspect", "pli"
+    )
+
+
 @query
 def fold_sizes(spark, sf):
     return folds.fold_sizes(stratified_folds(spark, sf), "est_suspect")
@@ -467,6 +557,34 @@ def rejected_clients(spark, sf):
     return rejected.select("ab_client_id", F.col(quality.REJECT).alias("motifs"))
 
 
+@query
+def rejected_rows(spark, sf):
+    """Rejected rows of all eight source tables, with the rules they break."""
+    parts = {}
+    for name, table in SOURCE_TABLES.items():
+        key, rules = _rules_of(name)
+        _, rejected = quality.split_rejected(quality.check_rows(raw(spark, sf, table), rules))
+        parts[name] = rejected.select(F.col(key).alias("cle"), F.col(quality.REJECT).alias("motifs"))
+    return _tagged(parts, "table")
+
+
+@query
+def corrected_rows(spark, sf):
+    """Accepted rows of all eight source tables: corrected values, rules that made corrections, and flags."""
+    parts = {}
+    for name, table in SOURCE_TABLES.items():
+        key, rules = _rules_of(name)
+        valid, _ = quality.split_rejected(quality.check_rows(raw(spark, sf, table), rules))
+        fixed = quality.correct_rows(valid, rules, catalog.PLACEHOLDER)
+        columns = sorted({r.column for r in rules if r.severity == quality.CORRECT})
+        parts[name] = fixed.select(
+            F.col(key).alias("cle"),
+            F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("")) for c in columns)).alias("valeurs"),
+            F.col(quality.FLAG).alias("anomalies"),
+        )
+    return _tagged(parts, "table")
+
+
 @query
 def corrected_clients(spark, sf):
     rules = _rules_of("AB_CLIENT")[1]
@@ -522,19 +640,52 @@ def text_file_rows(spark, sf):
     return files.read_text_table(spark, path)
 
 
+@query
+def rows_with_line_breaks(spark, sf):
+    """Claims whose text runs over lines, written and read both ways: breaks as spaces, and breaks kept."""
+    rows, parts = raw(spark, sf, "long_claims"), {}
+    for kept in (False, True):
+        path = work_folder(spark, "lines-csv")
+        files.write_delimited(rows, path, keep_line_breaks=kept)
+        parts["garde" if kept else "espace"] = files.read_text_table(spark, path, multi_line=kept)
+    return _tagged(parts, "lecture")
+
+
 @query
 def extraction_control(spark, sf):
-    """Rows in each source table of B and in its extraction; contracts are extracted by type."""
-    sources = {name: raw(spark, sf, t) for name, t in SOURCE_TABLES.items() if name.startswith("AP_")}
-    extracted = {}
-    for name, df in sources.items():
-        path = work_folder(spark, "extract")
-        if name == "AP_CONTRACTS":
-            files.write_table(files.read_typed_table(spark, _contract_file(spark, sf), CONTRACT_FILE)[0], path)
-        else:
-            files.write_table(df, path)
-        extracted[name] = files.read_table(spark, path)
-    return reconcile.extraction_control(sources, extracted)
+    """The extraction job on the delivered files of all eight tables: rows that entered, rows that fit."""
+    journal = work_folder(spark, "extract-journal")
+    for name, table in SOURCE_TABLES.items():
+        rows, path = raw(spark, sf, table), work_folder(spark, "extract")
+        files.write_delimited(rows, f"{path}-csv")
+        schema = CONTRACT_FILE if name == "AP_CONTRACTS" else rows.schema
+        jobs.extract(spark, name, f"{path}-csv", schema, path, journal, ";")
+    return spark.read.parquet(journal).drop("date_execution")
+
+
+def _fused_by_job(spark: SparkSession, sf: str, table: str) -> tuple[str, str]:
+    """Folders that the cleaning and fusion jobs wrote: the fused table, and clients that were merged away."""
+    root = work_folder(spark, "fusion")
+    for side in ("A", "B"):
+        name = f"{side}_{table}"
+        files.write_table(raw(spark, sf, name), f"{root}/raw/{name}")
+        jobs.clean(spark, name, f"{root}/raw/{name}", f"{root}/clean/{name}")
+    jobs.fuse_sources(spark, table, f"{root}/clean/A_{table}", f"{root}/clean/B_{table}", f"{root}/{table}", f"{root}/journal")
+    return f"{root}/{table}", f"{root}/{table}_doublons"
+
+
+@query
+def clients_fused_by_job(spark, sf):
+    """Clients as the jobs leave them: one row for each address known to both companies, the others as duplicates."""
+    kept, merged = (files.read_table(spark, p) for p in _fused_by_job(spark, sf, "clients"))
+    columns = ["client_id", "email", "source"]
+    return kept.select(*columns, F.lit(False).alias("doublon")).union(merged.select(*columns, F.lit(True)))
+
+
+@query
+def claims_fused_by_job(spark, sf):
+    """Claims as the jobs leave them: numbers of both companies side by side."""
+    return files.read_table(spark, _fused_by_job(spark, sf, "claims")[0]).select("source", "contrat_id", "sinistre_id")
 
 
 @query
@@ -648,6 +799,17 @@ def landed_after_replay(spark, sf):
     return landing.read_landed(spark, "paiements", landing.active_path(spark, "paiements", root))
 
 
+@query
+def landed_after_switch_back(spark, sf):
+    """Half a topic landed as version 1, all of it as version 2, then readers are sent back to version 1."""
+    rows, root = raw(spark, sf, "messages"), work_folder(spark, "landing")
+    half = rows.filter(F.col("key").cast("long") % 2 == 0)
+    for version, messages in ((1, half), (2, rows)):
+        landing.replay(_stream(spark, _topic(spark, messages)), "paiements", root, version)
+    landing.switch_to(spark, "paiements", root, 1)
+    return landing.read_landed(spark, "paiements", landing.active_path(spark, "paiements", root))
+
+
 @query
 def landed_protected_clients(spark, sf):
     """Clients landed with their sensitive columns hashed."""
@@ -670,6 +832,12 @@ def slow_steps(spark, sf):
     return monitor.slow_steps(raw(spark, sf, "timings"), ["date", "event_id"], factor=1.5, minimum_s=0.5)
 
 
+@query
+def slow_steps_with_gaps(spark, sf):
+    """Runs without a duration are no measures."""
+    return monitor.slow_steps(raw(spark, sf, "timing_gaps"), ["date", "event_id"], factor=1.5, minimum_s=0.5)
+
+
 @query
 def step_names(spark, sf):
     return monitor.step_names(raw(spark, sf, "timings"))

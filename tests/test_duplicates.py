@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -79,14 +80,37 @@ def test_hot_key_is_cut_down_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before_exchange and "Partial" in before_exchange
 
 
-def test_no_window_holds_a_hot_key_whole(spark):
-    """Rows that share a key and a rank group come from one partition, or are first in theirs."""
-    data = [("HOT", 1, "same")] * 1000
-    df = spark.createDataFrame(data, "k string, n int, v string").repartition(10)
-    marked = mark_repeats(df, ["k"])
-    assert marked.filter(~F.col(REPEAT)).count() == 1
-    plan = marked._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(_w" in plan or "_part" in plan
+def test_a_hot_key_is_dealt_over_tasks(spark):
+    """One shuffle of the rows, and no task gets more than a small part of a key that holds most of them."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 10 < 7, "HOT").otherwise(F.col("id").cast("string")).alias("k"), (F.col("id") % 1500).alias("n")
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marked = mark_repeats(df.repartition(8), ["k"], ["n"])
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        sizes = marked.filter("k = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
+        kept = marked.filter(~F.col(REPEAT))
+        assert kept.filter("k = 'HOT'").collect()[0]["n"] == 0 and kept.count() == 1201
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 0.5 * 2800
+    # One exchange carries all rows, by key and salt; the others are of hashes, sketches and rows of hot keys.
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*_salt#", plan)) == 1
+
+
+def test_rows_without_a_key_are_not_shuffled(spark):
+    df = spark.createDataFrame([(None, i) for i in range(50)] + [("a@b", 1), ("A@B", 2)], "email string, n int")
+    marked = mark_repeats(df, ["email"], ["n"], nulls_differ=True)
+    assert marked.filter(F.col(REPEAT)).select("n").collect()[0]["n"] == 2
+    assert marked.filter("email is null and not doublon").count() == 50
+
+
+def test_a_source_that_no_list_names_comes_last(table):
+    df = table("source string, email string, client_id string", ("C", "x@y", "1"), ("B", "X@y", "2"), ("D", "x@y", "0"))
+    kept, dropped = merge_sources(df, "email", ["A", "B"], ["client_id"])
+    assert rows(kept) == [("B", "X@y", "2")] and dropped.count() == 2
 
 
 def test_composite_key_with_equal_nulls(table):

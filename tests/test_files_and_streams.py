@@ -84,7 +84,11 @@ def test_timings_and_log_files(spark, tmp_path):
 
 def test_export_leaves_sensitive_columns_out(spark, table, tmp_path):
     clients = table("client_id string, email string, code_postal string", ("1", "a@b.fr", "29617"))
-    files.export_tables({"clients": clients, "autre": clients}, catalog.PUBLIC_COLUMNS, str(tmp_path))
+    with pytest.raises(ValueError, match="autre"):
+        files.export_tables({"clients": clients, "autre": clients}, catalog.PUBLIC_COLUMNS, str(tmp_path))
+    assert not list(tmp_path.iterdir())
+    lists = {**catalog.PUBLIC_COLUMNS, "autre": files.ALL_COLUMNS}
+    files.export_tables({"clients": clients, "autre": clients}, lists, str(tmp_path))
     assert files.read_table(spark, str(tmp_path / "clients")).columns == ["client_id", "code_postal"]
     assert len(files.read_table(spark, str(tmp_path / "autre")).columns) == 3
 
@@ -213,3 +217,23 @@ def test_clients_and_contracts_are_normalised_when_published(table):
 
 def test_blank_text_is_null_after_landing(table):
     assert table("a string", ("",)).select(clean_text(F.col("a"))).first()[0] is None
+
+
+def test_line_breaks_in_values(spark, table, tmp_path):
+    df = table("id string, texte string", ("1", "un\r\ndeux"), ("2", 'a "b"\nc;d'), ("3", "e\rf"))
+    files.write_delimited(df, str(tmp_path / "plain"))
+    assert rows(files.read_text_table(spark, str(tmp_path / "plain"))) == [("1", "un deux"), ("2", 'a "b" c;d'), ("3", "e f")]
+    files.write_delimited(df, str(tmp_path / "kept"), keep_line_breaks=True)
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("texte", T.StringType())])
+    valid, rejects = files.read_typed_table(spark, str(tmp_path / "kept"), schema, multi_line=True)
+    assert rows(valid.filter("id < 3")) == [(1, "un\r\ndeux"), (2, 'a "b"\nc;d')] and rejects.count() == 0
+
+
+def test_readers_can_be_sent_back_to_an_older_version(spark, tmp_path):
+    root = str(tmp_path)
+    for version in (1, 2, 3):
+        landing.switch_to(spark, "clients", root, version)
+    assert landing.active_path(spark, "clients", root).endswith("/clients/v3")
+    landing.switch_to(spark, "clients", root, 2)
+    landing.switch_to(spark, "contrats", root, 9)
+    assert landing.active_path(spark, "clients", root).endswith("/clients/v2")

@@ -43,7 +43,7 @@ def deliver() -> dict[str, list[tuple]]:
         "A_clients": [(i, f"Nom{i}", "P", "1973-01-27", f"c{i}@voila.fr", "0261177625", "rue", "29617", "FR1",
                        "2024-01-05 13:05:01", "ACTIF") for i in a],
         "B_clients": [(i, f"Nom {i}", "06/10/1943", f"u{i}_at_voila.fr", "+33 4 30 23 51 16", "bd, 3", "73666",
-                       "2023-08-07 21:31:33", "ACTIVE", 74) for i in b],
+                       "2023-08-07 21:31:33", "ACTIVE", 74) for i in b],  # the last three are clients of both companies
         "A_contracts": [(f"AB-{i}", i, "AUTO", "2024-01-01", "2024-12-31", 1200, "ACTIF", 20) for i in a],
         "B_contracts": [(f"AP-{i}", i, "ASSIST_BASIC", "2024-01-01", "2024-12-31", 100, "TERMINATED", "BRK") for i in b],
         "A_payments": [(i, f"AB-{i}", "2024-02-01", 100.5, "CARTE") for i in a],
@@ -53,6 +53,10 @@ def deliver() -> dict[str, list[tuple]]:
                       95 if i % 4 == 0 else 10) for i in b],
     }
     out["A_clients"].append(out["A_clients"][0])
+    for i in (37, 38, 39):
+        row = list(out["B_clients"][i])
+        row[3] = f" C{i - 30}_at_VOILA.fr"
+        out["B_clients"][i] = tuple(row)
     return out
 
 
@@ -70,7 +74,11 @@ def landed(spark, tmp_path_factory):
         (folder / "f.csv").write_text("\n".join([",".join(columns), *lines]) + "\n", encoding="utf-8")
         control = jobs.extract(spark, table, str(folder), text_schema(HEADERS[table]), at("raw", table), at("journal"))
         controls[table] = rows(control)
-        jobs.clean(spark, table, at("raw", table), at("clean", table))
+        source = at("raw", table)
+        if table == "A_clients":
+            jobs.judge(spark, "AB_CLIENT", source, at("valid"), at("refused"), at("quality"))
+            source = at("valid")
+        jobs.clean(spark, table, source, at("clean", table))
     tables = {}
     for table, entity in (("clients", "clients"), ("contracts", "contrats"), ("payments", "paiements"),
                           ("claims", "sinistres")):
@@ -78,7 +86,7 @@ def landed(spark, tmp_path_factory):
             spark, table, at("clean", f"A_{table}"), at("clean", f"B_{table}"), at("fused", table), at("fusion")
         )
         controls[table] = rows(control)
-        sent = jobs.publish(spark, entity, at("fused", table), "parquet", {"path": at("topic", entity)})
+        sent = jobs.publish(spark, entity, at("fused", table), "parquet", {"path": at("topic", entity)}, journal=at("sent"))
         stream = topics.message_stream(spark, "parquet", {"path": at("topic", entity)})
         landing.land_topic(stream, entity, at("landed", entity), at("check", entity), None).awaitTermination()
         tables[entity] = landing.read_landed(spark, entity, at("landed", entity))
@@ -89,15 +97,22 @@ def landed(spark, tmp_path_factory):
 def test_counts_agree_at_every_hop(spark, landed):
     at, controls, tables = landed
     assert controls["A_clients"] == [("A_clients", 21, 21, 0, "OK")]
-    assert controls["clients"] == [("clients", 20, 40, 60, 0)]
+    assert controls["clients"] == [("clients", 20, 40, 57, 3)]
+    merged = spark.read.parquet(at("fused", "clients_doublons"))
+    assert sorted(r["client_id"] for r in merged.collect()) == ["AP-38", "AP-39", "AP-40"]
+    sent = {r["topic"]: (r["tentes"], r["reussis"], r["echoues"]) for r in spark.read.parquet(at("sent")).collect()}
+    assert sent["assurance.clients.v1"] == (57, 57, 0) and len(sent) == 4
     assert spark.read.parquet(at("journal")).count() == 8
-    assert {e: t.count() for e, t in tables.items()} == {"clients": 60, "contrats": 60, "paiements": 60, "sinistres": 60}
+    assert {e: t.count() for e, t in tables.items()} == {"clients": 57, "contrats": 60, "paiements": 60, "sinistres": 60}
 
 
 def test_landed_tables_are_harmonised(landed):
     _, _, tables = landed
     client = tables["clients"].filter("client_id = 'AP-7'").first()
     assert (client["email"], client["telephone"], client["statut_client"]) == ("u7@voila.fr", "04 30 23 51 16", "ACTIF")
+    assert {r[0] for r in tables["paiements"].select("mode_paiement").distinct().collect()} == {"CARTE"}
+    numbers = tables["sinistres"].select("sinistre_id").distinct().count()
+    assert numbers == tables["sinistres"].count() == 60
     contract = tables["contrats"].filter("contrat_id = 'AP-7'").first()
     assert (contract["prime_annuelle"], contract["statut_contrat"]) == (1200.0, "RESILIE")
 
@@ -121,7 +136,6 @@ def test_dataset_model_and_report(spark, landed):
 
 def test_written_rules_on_a_source_table(spark, landed):
     at, _, _ = landed
-    jobs.judge(spark, "AB_CLIENT", at("raw", "A_clients"), at("valid"), at("refused"), at("quality"))
     report = spark.read.parquet(at("quality")).first()
     assert (report["nb_lignes_total"], report["nb_lignes_rejetees"], report["nb_anomalies_avant"]) == (21, 1, 2)
-    assert files.read_table(spark, at("valid")).count() == 20
+    assert files.read_table(spark, at("valid")).count() == 21

@@ -134,10 +134,10 @@ def test_key_figures(table):
     ]
     by_type = reports.with_status(contracts, "statut_contrat", "(vide)", catalog.EMPTY_LABEL)
     assert rows(summaries.count_by(by_type, {"type_assurance": catalog.UNKNOWN_LABEL})) == [("AUTO", 1)]
-    claims = table("montant_estime string", ("100.25",), ("200.25",), ("x",), (None,))
-    assert rows(summaries.total_amount(claims, "montant_estime", "t")) == [(300.5,)]
+    claims = table("montant_estime string", ("17.01",), ("9983.98",), ("sans objet",), (None,), ("12345678901234567.5",), ("NaN",))
+    assert rows(summaries.total_amount(claims, "montant_estime", "t")) == [(12345678901244568.0,)]
     assert rows(summaries.total_amount(claims.limit(0), "montant_estime", "t")) == [(0.0,)]
-    assert rows(summaries.count_tables({"a": contracts, "b": claims})) == [("a", 3), ("b", 4)]
+    assert rows(summaries.count_tables({"a": contracts, "b": claims})) == [("a", 3), ("b", 6)]
 
 
 def test_thresholds(table):
@@ -155,22 +155,30 @@ def test_allow_list_keeps_new_columns_in(table):
 
 
 # --- Monitoring -----------------------------------------------------------------------------------------
-@pytest.mark.parametrize(
-    "seconds, factor, slow, last, mean",
-    [
-        ([1, 1, 1], 2, False, None, None),
-        ([2, 2, 2, 2], 2, False, 2.0, 2.0),
-        ([1, 1, 1, 5], 2, True, 5.0, 1.0),
-        ([0.1, 0.1, 0.1, 0.5], 2, False, 0.5, 0.1),
-        ([2, 2, 2, 4], 2, False, 4.0, 2.0),
-        ([2, 2, 2, 4], 1.5, True, 4.0, 2.0),
-        ([5, 5, 5, 1], 2, False, 1.0, 5.0),
-    ],
-)
-def test_slow_down(table, seconds, factor, slow, last, mean):
-    df = table("date int, etape string, duree_s double", *[(i, "s", float(x)) for i, x in enumerate(seconds)])
+#: Border cases of our own: exactly factor x mean, just above it, at and above the least duration, few measures, gaps.
+HABITS = {
+    "exactly_three_times": ([0.8, 1.2, 1.0, 3.0], 3, False),
+    "just_above_three_times": ([0.8, 1.2, 1.0, 3.00001], 3, True),
+    "exactly_a_second": ([0.01, 0.02, 0.03, 0.02, 1.0], 2, False),
+    "above_a_second": ([0.01, 0.02, 0.03, 0.02, 1.25], 2, True),
+    "too_few": ([0.4, 0.4, 90.0], 2, False),
+    "faster": ([70.0, 35.0, 35.0, 2.5, 1.5], 2, False),
+    "gap_before_the_last": ([1.0, None, 2.0, None, 4.0, 8.0], 3, True),
+    "gap_at_the_end": ([1.5, 2.5, 0.5, 6.75, None], 4, True),
+    "only_gaps": ([None, None, None, None, None], 2, False),
+}
+
+
+@pytest.mark.parametrize("case", HABITS)
+def test_slow_down(table, case):
+    seconds, factor, slow = HABITS[case]
+    df = table("date int, etape string, duree_s double", *[(i, case, x) for i, x in enumerate(seconds)])
     got = monitor.slow_steps(df.repartition(3), factor=factor).first()
-    assert (got["ralenti"], got["derniere_s"]) == (slow, last)
+    known = [x for x in seconds if x is not None]
+    assert (got["ralenti"], got["nb_mesures"]) == (slow, len(known))
+    enough = len(known) >= 4
+    assert got["derniere_s"] == (known[-1] if enough else None)
+    mean = sum(known[:-1]) / len(known[:-1]) if enough else None
     assert got["moyenne_avant_s"] == (None if mean is None else pytest.approx(mean))
 
 
