@@ -109,27 +109,33 @@ def links_of(fps: DataFrame, max_bits: int) -> DataFrame:
     return met.select(F.col("h.fp").alias("u"), F.col("v.fp").alias("v"))
 
 
-def _grouped(docs: DataFrame, words: int, max_bits: int, key: str, text: str) -> DataFrame:
-    """``id, text_hash, fp, root``: root is a fingerprint that stands for the component."""
+def _grouped(docs: DataFrame, words: int, max_bits: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The documents' ``id, text_hash, fp``, and each different ``fp`` with the ``root`` of its component.
+
+    Both are stored, so that the joins on them, whose keys may be crowded, are of plain tables and can be split.
+    """
     rows = store(fingerprints(docs, words, key, text), "simhash")
-    linked = components(links_of(rows.select("fp").distinct(), max_bits), "simhash-links")
-    return rows.join(linked, rows["fp"] == linked["node"], "left").select("id", "text_hash", "fp", F.coalesce("root", "fp").alias("root"))
+    prints = rows.groupBy("fp").agg(F.min("id").alias("id"))
+    linked = components(links_of(prints.select("fp"), max_bits), "simhash-links")
+    joined = prints.join(linked, prints["fp"] == linked["node"], "left")
+    return rows, store(joined.select("fp", "id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each document: ``doc_id, fingerprint`` (16 hex digits) and ``component_id``."""
-    rows = _grouped(docs, words, max_bits, key, text)
-    names = rows.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rows.join(names, "root").select(
+    rows, roots = _grouped(docs, words, max_bits, key, text)
+    names = store(roots.groupBy("root").agg(F.min("id").alias("component_id")), "simhash-names")
+    named = store(roots.join(names, "root").select("fp", "component_id"), "simhash-named")
+    return rows.join(named, "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one row of each component: the smallest id, then the smallest hash of the text."""
-    rows = _grouped(docs, words, max_bits, key, text)
+    rows, roots = _grouped(docs, words, max_bits, key, text)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
-    picked = rows.groupBy("root").agg(F.min(order).alias("p")).select("p.id", "p.text_hash")
+    picked = rows.join(roots.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("p")).select("p.id", "p.text_hash")
     picked = store(picked.distinct(), "simhash-kept").withColumnsRenamed({"id": "_pick_id", "text_hash": "_pick_hash"})
     same = F.col(key).cast("long").eqNullSafe(F.col("_pick_id")) & (F.xxhash64(text) == F.col("_pick_hash"))
     kept = docs.join(picked, same, "left_semi")
