@@ -59,6 +59,7 @@ def _words(x: str, words: dict[str, str], rest: str | None = None) -> str:
     return f"CASE {x} {arms} ELSE {rest or x} END"
 
 
+# Words of the delivered tables and those of the common model.
 _CLIENT_WORDS = {"ACTIVE": "ACTIF", "INACTIVE": "INACTIF", "SUSPENDED": "SUSPENDU"}
 _CONTRACT_WORDS = {"ACTIVE": "ACTIF", "TERMINATED": "RESILIE", "SUSPENDED": "SUSPENDU"}
 _CLAIM_WORDS = {"REPORTED": "DECLARE", "IN_PROGRESS": "EN_COURS", "CLOSED": "CLOTURE", "REJECTED": "REJETE"}

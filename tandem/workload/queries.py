@@ -32,7 +32,8 @@ SOURCE_TABLES = {
     "AP_USERS": "B_clients", "AP_CONTRACTS": "B_contracts", "AP_PAYMENTS": "B_payments", "AP_CLAIMS": "B_claims",
 }
 
-#: A small tree with fixed limits, so that compiled scoring can be checked without a fit.
+#: A small tree with fixed limits, so that compiled scoring can be checked without a fit. The field names
+#: are the export format of a tree's nodes.
 FIXED_TREE = [
     {"id": 0, "stats": [16.5, 25.25], "gauche": 1, "droite": 4, "variable": 1, "seuil": 250000.0},
     {"id": 1, "stats": [11.0, 9.0], "gauche": 2, "droite": 3, "variable": 0, "seuil": 30000.0},
