@@ -39,6 +39,8 @@ class Vocabulary:
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int] | None, unknown: int, spellings: list[bytes]) -> None:
         self.pieces, self.byte_ids, self.unknown, self.spellings = pieces, byte_ids, unknown, spellings
         self.longest = max(map(len, pieces), default=1)
+        #: All ends of pieces: where a text's end is none of them, no longer piece ends there either.
+        self.ends = {p[k:] for p in pieces for k in range(len(p))}
         self.no_piece = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN_PENALTY
         longer = [p for p in pieces if len(p) > 1]
         #: Whether every path has a boundary before a space that follows another character, and around a line break.
@@ -88,18 +90,19 @@ class Search:
 
     def _extend(self) -> None:
         """Bring every position of the text up to date; positions are final once all starts before them are tried."""
-        v, text = self.v, self.text
-        n = len(text)
-        for end in range(len(self.best), n + 1):
-            top, start_of_top = self.best[end - 1] + v.no_piece, end - 1
-            found = v.pieces.get(text[end - 1])
-            if found is not None:
-                top = self.best[end - 1] + found[1]
-            for start in range(end - 2, max(-1, end - v.longest - 1), -1):
-                found = v.pieces.get(text[start:end])
-                if found is not None and self.best[start] + found[1] >= top:
-                    top, start_of_top = self.best[start] + found[1], start
-            self.best.append(top)
+        text, best, pieces, ends = self.text, self.best, self.v.pieces, self.v.ends
+        for end in range(len(best), len(text) + 1):
+            start_of_top = end - 1
+            found = pieces.get(text[start_of_top])
+            top = best[start_of_top] + (self.v.no_piece if found is None else found[1])
+            for start in range(end - 2, max(-1, end - self.v.longest - 1), -1):
+                part = text[start:end]
+                if part not in ends:
+                    break
+                found = pieces.get(part)
+                if found is not None and best[start] + found[1] >= top:
+                    top, start_of_top = best[start] + found[1], start
+            best.append(top)
             self.back.append(start_of_top)
 
     def _ids(self, end: int) -> list[int]:
@@ -144,29 +147,46 @@ class Search:
 
 
 class Encoder:
-    """Encodes whole texts unit by unit; ids of units are remembered up to a bound."""
+    """Encodes whole texts unit by unit; ids of units are remembered up to a bound, those used last.
 
-    REMEMBERED = 800_000
+    Units hold plain spaces, so that most are ASCII and small. They live in two tables of half the bound each: when the
+    young one is full it becomes the old one, and what is met again moves from there to the new young one.
+    """
+
+    REMEMBERED = 400_000
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         self.kind = "<u2" if len(vocabulary.spellings) <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def search(self, text: str) -> bytes:
+    def search(self, unit: str) -> bytes:
         search = Search(self.v)
-        return np.array(search.feed(text) + search.finish(), self.kind).tobytes()
+        return np.array(search.feed(unit.replace(" ", SPACE)) + search.finish(), self.kind).tobytes()
 
     def units(self, text: str) -> list[str]:
-        """Parts of the marked text at whose ends all paths meet."""
-        marked = SPACE + text.replace(" ", SPACE)
+        """Parts of the text, with a space in front, at whose ends all paths meet."""
+        if "\0" in text or SPACE in text:  # what parts the units, and a space that looks like none
+            return [f" {text}"]
+        parts = f" {text}"
+        if self.v.space_parts:
+            parts = parts.replace(" ", "\0 ")
+            if " \0 " in parts:  # a run of spaces may be one piece
+                parts = re.sub("(?<= )\0(?= )", "", parts)
         if self.v.line_parts:
-            marked = marked.replace("\n", "\0\n\0") if "\0" not in marked else marked
-        if self.v.space_parts and "\0" not in text:
-            marked = marked.replace(SPACE, f"\0{SPACE}")
-            if f"{SPACE}\0{SPACE}" in marked:  # a run of spaces may be one piece
-                marked = re.sub(f"(?<={SPACE})\0(?={SPACE})", "", marked)
-        return [marked] if "\0" in text else [u for u in marked.split("\0") if u]
+            parts = parts.replace("\n", "\0\n\0")
+        return [u for u in parts.split("\0") if u]
+
+    def ids_of(self, unit: str) -> bytes:
+        ids = self.old.pop(unit, None)
+        if ids is None:
+            ids = self.search(unit)
+        if len(unit) <= 64:
+            if len(self.known) >= self.REMEMBERED // 2:
+                self.old, self.known = self.known, {}
+            self.known[unit] = ids
+        return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
@@ -175,9 +195,7 @@ class Encoder:
         for unit in self.units(text):
             ids = known.get(unit)
             if ids is None:
-                ids = self.search(unit)
-                if len(known) < self.REMEMBERED and len(unit) <= 64:
-                    known[unit] = ids
+                ids, known = self.ids_of(unit), self.known
             out.append(ids)
         return np.frombuffer(b"".join(out), self.kind)
 

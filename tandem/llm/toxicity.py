@@ -151,7 +151,7 @@ class Model:
 class Scorer:
     """Applies a model to texts; remembers the weight of the tokens it has met."""
 
-    REMEMBERED = 1_000_000
+    REMEMBERED = 250_000
 
     def __init__(self, model: Model) -> None:
         self.model = model
