@@ -6,9 +6,9 @@ A passage is a run of words all of which lie in windows of ``least`` words that
    (``seed`` words from there) has the smallest hash. The choice depends on the words alone, so equal windows keep
    the same suffix, at the same place in them.
 2. Suffixes whose seed lies in one document only are dropped: seeds are counted with a sum before the shuffle.
-3. Those left are given the words around their seed and sorted, seed by seed. For each way a window can lie around a seed, all are sorted
-   by the words they then begin with, and neighbours are compared; equal neighbours of different documents extend the match
-   to the left and right as far as that window reaches.
+3. Those left are given the words around their seed and sorted, seed by seed. For each way a window can lie around
+   a seed, all are sorted by the words they then begin with, and neighbours are compared; equal neighbours of
+   different documents extend the match to the left and right as far as that window reaches.
 4. Spans of a document that touch are one passage.
 
 Seeds that more than ``crowd`` suffixes share are not handled in one task: their windows are hashed and summed like any
@@ -231,10 +231,21 @@ def _by_sums(around: DataFrame, least: int, side: int) -> DataFrame:
     rows = around.mapInPandas(run, "doc long, has_id boolean, id long, place int, seed long, o int, key long")
     rows = store(rows, "crowded-windows")
     who = F.struct("doc", "has_id", "id")
-    shared = rows.groupBy("seed", "o", "key").agg(F.min(who).alias("lowest"), F.max(who).alias("highest")).where("lowest.doc <> highest.doc")
-    met = rows.join(shared, ["seed", "o", "key"]).withColumn("other", F.when(F.col("lowest.doc") == F.col("doc"), F.col("highest")).otherwise(F.col("lowest")))
-    met = met.groupBy("doc", "has_id", "id", "place").agg(F.min("o").alias("low"), F.max("o").alias("high"), F.min_by("other", "o").alias("other"))
-    return met.select("doc", "has_id", "id", (F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + least).alias("stop"), F.col("other.has_id").alias("has_partner"), F.col("other.id").alias("partner"))
+    shared = rows.groupBy("seed", "o", "key").agg(F.min(who).alias("lowest"), F.max(who).alias("highest"))
+    # Stored, so that the join is of two plain tables and a key with very many rows can be split.
+    shared = store(shared.where("lowest.doc <> highest.doc"), "crowded-shared")
+    other = F.when(F.col("lowest.doc") == F.col("doc"), F.col("highest")).otherwise(F.col("lowest"))
+    met = rows.join(shared, ["seed", "o", "key"]).withColumn("other", other).groupBy("doc", "has_id", "id", "place")
+    met = met.agg(F.min("o").alias("low"), F.max("o").alias("high"), F.min_by("other", "o").alias("other"))
+    return met.select(
+        "doc",
+        "has_id",
+        "id",
+        (F.col("place") - F.col("high")).alias("start"),
+        (F.col("place") - F.col("low") + least).alias("stop"),
+        F.col("other.has_id").alias("has_partner"),
+        F.col("other.id").alias("partner"),
+    )
 
 
 def repeated_passages(
@@ -248,8 +259,8 @@ def repeated_passages(
         raise ValueError("a seed is shorter than a passage")
     rows = _documents(docs, key, text)
     kept = store(_suffixes(rows, least, seed), "suffixes")
-    many = kept.groupBy("seed").agg(F.count("*").alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("seed", "n")
-    kept = kept.join(store(many, "seeds"), "seed")
+    many = kept.groupBy("seed").agg(F.count("*").alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b"))
+    kept = kept.join(store(many.where("a <> b").select("seed", "n"), "seeds"), "seed")
     crowded = kept.where(F.col("n") > crowd)
     side = least - seed
     spans = _by_neighbours(_with_words(rows, kept.where(F.col("n") <= crowd), least, seed), least, side)
@@ -261,7 +272,11 @@ def repeated_passages(
     runs = marked.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     partner = F.min(F.struct((~F.col("has_partner")).alias("none"), "partner", "has_partner"))
     found = runs.groupBy("doc", "run").agg(
-        F.first("has_id").alias("has_id"), F.first("id").alias("id"), F.min("start").alias("start_word"), F.max("stop").alias("stop_word"), partner.alias("p")
+        F.first("has_id").alias("has_id"),
+        F.first("id").alias("id"),
+        F.min("start").alias("start_word"),
+        F.max("stop").alias("stop_word"),
+        partner.alias("p"),
     )
     return found.select(
         F.when(F.col("has_id"), F.col("id")).alias("doc_id"),
