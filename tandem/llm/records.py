@@ -22,12 +22,16 @@ document ids come first; an empty table writes no file and gives no row.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,8 +43,8 @@ from tandem.session import work_folder
 
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<BBq")
-#: Pieces remembered by a task; beyond them pieces are encoded each time they come.
-REMEMBERED = 800_000
+#: Pieces remembered by a worker process, some 110 MB. When they are full, those that came only once are forgotten.
+REMEMBERED = 500_000
 
 
 def masked_crc(data: bytes) -> int:
@@ -89,42 +93,85 @@ def file_system(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
+def _byte_letters(spec: dict) -> dict[int, int] | None:
+    """How a byte-level vocabulary spells bytes, if the tokenizer does nothing else to a word of letters.
+
+    Printable bytes of Latin-1 stand for themselves, the others follow from U+0100 on.
+    """
+    step, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    byte_level = step.get("type") == "ByteLevel" and not step.get("add_prefix_space") and step.get("use_regex", True)
+    if not byte_level or spec.get("normalizer") or model.get("type") != "BPE" or model.get("dropout"):
+        return None
+    itself = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in itself]
+    return {**{b: b for b in itself}, **{b: 256 + i for i, b in enumerate(others)}}
+
+
 class Pieces:
     """Encodes texts piece by piece; ``width`` bytes a token."""
 
     #: White space that the pre-tokenizer might take together, at the ends of the text or in runs.
     _runs = re.compile(r"\s\s|^\s|\s$")
     _safe_cut = re.compile(r"(?<=\S)(?=[ \n])")
+    #: Letters of Latin alphabets with or without a space in front, then ASCII marks without the apostrophe.
+    _word_and_marks = re.compile(r"( ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, tokenizer_file: str, width: int, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.kind, self.known, self.most = f"<u{width}", {}, remembered
-
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        self.code, self.known, self.again, self.most = "H" if width == 2 else "I", {}, set(), remembered
+        self.letters = _byte_letters(json.loads(self.tokenizer.to_str()))
+
+    def encode(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids by piece. A word, and marks after it, are a step each of a byte-level pre-tokenizer, so they go straight to
+        the library's model; all other pieces go the whole way."""
+        ids = {}
+        for piece in pieces if self.letters else ():
+            if (m := self._word_and_marks.fullmatch(piece)) is not None:
+                ids[piece] = self._spelt(m[1]) + (self._spelt(m[2]) if m[2] else b"")
+        rest = [p for p in pieces if p not in ids]
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        ids.update(zip(rest, (self._bytes(e.ids) for e in found), strict=True))
+        return ids
+
+    def _spelt(self, step: str) -> bytes:
+        spelt = step.encode().decode("latin-1").translate(self.letters)
+        return self._bytes([t.id for t in self.tokenizer.model.tokenize(spelt)])
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        numbers = array(self.code, ids)
+        if sys.byteorder == "big":
+            numbers.byteswap()
+        return numbers.tobytes()
 
     @classmethod
     def cut(cls, text: str) -> list[str]:
         """Pieces whose ids, one after the other, are those of the text."""
-        if cls._runs.search(text):
+        plain = not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text) and text.replace("\n", "").isprintable()
+        if not plain and cls._runs.search(text) or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"):
             return cls._safe_cut.split(text)
         # Each space stays with the word after it; line breaks stand alone.
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else cls._safe_cut.split(text)
 
     def batch(self, texts: list[str]) -> Iterator[bytes]:
-        cuts, known = [self.cut(t) for t in texts], self.known
-        new = list(set().union(*cuts).difference(known))
-        extra = dict(zip(new, self.encode(new), strict=True))
-        if len(known) + len(extra) <= self.most:
-            known.update(extra)
-            for pieces in cuts:
-                yield b"".join(map(known.__getitem__, pieces))
-        else:
-            for pieces in cuts:
-                yield b"".join([known[p] if p in known else extra[p] for p in pieces])
+        cuts = [self.cut(t) for t in texts]
+        used = set().union(*cuts)
+        new = list(used.difference(self.known))
+        used.difference_update(new)
+        self.again |= used
+        if len(self.known) + len(new) > self.most:
+            kept = self.again if len(self.again) < self.most // 2 else used
+            self.known, self.again = {p: self.known[p] for p in kept}, set()
+        self.known.update(self.encode(new))
+        for pieces in cuts:
+            yield b"".join(map(self.known.__getitem__, pieces))
+
+
+@lru_cache(maxsize=1)
+def pieces_of(tokenizer_file: str, width: int) -> Pieces:
+    """One for all tasks that a worker process runs, so that later tasks know the pieces of earlier ones."""
+    return Pieces(tokenizer_file, width)
 
 
 ENCODED = "has_id boolean, id long, ids binary"
@@ -136,10 +183,11 @@ def encoded(docs: DataFrame, tokenizer_file: str, end_id: int | None, width: int
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        pieces = Pieces(tokenizer_file, width)
+        pieces = pieces_of(tokenizer_file, width)
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at : at + 512]
+            # Parts of some 2 million characters, so that what they add to the pieces stays small.
+            part_of = batch["text"].str.len().cumsum() // 2_000_000
+            for _, part in batch.groupby(part_of.astype("int64"), sort=False):
                 ids = [i + end for i in pieces.batch(part["text"].tolist())]
                 yield pd.DataFrame({"has_id": part["has_id"], "id": part["id"], "ids": ids})
 

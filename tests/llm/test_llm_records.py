@@ -25,7 +25,7 @@ def library():
 
 def texts(n=150):
     rng = random.Random(8)
-    bits = ["the", "The", "It's", "don't ", " ", "  ", "\n", "\n\n", "\t", "é", "日本", "🙂", "x1", "12", ".", ", ", " ", "\x1c", "\0", "<|endoftext|>", "\r\n", " \n "]
+    bits = ["the", "Straße", "ça", "ǅa", " 日本", "ªº", "x", "The", "It's", "don't ", " ", "  ", "\n", "\n\n", "\t", "é", "日本", "🙂", "x1", "12", ".", ", ", " ", "\x1c", "\0", "<|endoftext|>", "\r\n", " \n "]
     return ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(n)] + ["", " ", "\n", "a b c\nd e"]
 
 
@@ -92,3 +92,13 @@ def test_any_changed_byte_is_noticed(tmp_path):
             assert len(list(R.records_of(str(tmp_path), "a.rec"))) == 1  # a cut between two records
         except R.Damaged:
             pass
+
+
+def test_words_and_other_pieces_of_every_kind(library):
+    pieces = R.Pieces(FILE, 2)
+    assert pieces.letters is not None
+    given = [" the", "the", " Übergrößenträger", "naïve", " ña", "ª", "x", " ", "é", " x1", "it's", "<|endoftext|>", " ÿ", "\u0250a", "", "ſ", "µm", '"abc', "'sabc", "1abc", "-abc", "\nabc", ".The", "  ab", " \u00a0a", " word,", "end.", "Of%%%", "a's", "so...", " x|", "a.b", "(a)", "mot»", " a² ", "it'"]
+    for piece, ids in pieces.encode(given).items():
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(piece, add_special_tokens=False).ids, piece
+    other = R.Pieces(public.path("word_bpe_49k.json"), 4)
+    assert other.letters is None
