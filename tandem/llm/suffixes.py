@@ -85,13 +85,19 @@ def kept_positions(words: np.ndarray, least: int, seed: int) -> tuple[np.ndarray
 
 
 def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc`` (a hash of id and text), ``has_id``, ``id``, ``text``."""
-    return docs.select(
+    """``doc`` (a hash of id and text), ``has_id``, ``id``, ``text``; a row for each ``doc``."""
+    rows = docs.select(
         F.xxhash64(F.lit(10), F.col(key).cast("string"), F.col(key).isNull(), F.col(text)).alias("doc"),
         F.col(key).isNotNull().alias("has_id"),
         F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"),
         F.col(text).alias("text"),
     )
+    # Hashes are counted first, so that texts are shuffled only where rows repeat.
+    again = store(rows.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc"), "repeated-rows")
+    if not again.limit(1).count():
+        return rows
+    once = store(rows.join(again, "doc", "left_semi").dropDuplicates(["doc"]), "rows-once")
+    return rows.join(again, "doc", "left_anti").unionByName(once)
 
 
 def _suffixes(rows: DataFrame, least: int, seed: int) -> DataFrame:

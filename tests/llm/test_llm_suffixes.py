@@ -85,3 +85,14 @@ def test_cases_with_a_defined_result(spark):
     assert S.repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
     clash = spark.createDataFrame([(1, long, 5, 6), (2, long, 5, 6)], "doc_id long, text string, doc long, seed long")
     assert S.repeated_passages(clash).count() == 2
+
+
+def test_rows_that_repeat_id_and_text_are_one_row_before_they_are_joined(spark):
+    long = " ".join(f"w{i}" for i in range(120))
+    rows = [(None, long)] * 60 + [(3, long)] * 40 + [(4, long), (5, "other"), (None, None), (None, None)]
+    docs = S._documents(spark.createDataFrame(rows, SCHEMA), "doc_id", "text")
+    assert sorted(((r["has_id"], r["id"]) for r in docs.collect())) == [(False, 0), (False, 0), (True, 3), (True, 4), (True, 5)]
+    kept = S._suffixes(docs, 50, 25)
+    assert S._with_words(docs, kept, 50, 25).count() == kept.count()
+    for crowd in (100_000, 2):
+        assert found(spark, rows, crowd=crowd)[0] == brute(rows, 50)
