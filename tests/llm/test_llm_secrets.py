@@ -105,3 +105,25 @@ def test_redaction_keeps_rows_columns_and_the_rest_of_the_text(spark):
     got = sorted(map(tuple, S.redacted(docs).collect()))
     assert got == [(1, "my [SECRET] end", 15, "x"), (2, None, 5, "y"), (3, "clean", 5, "z")]
     assert S.redact("abcdef", [("a", 0, 3), ("b", 2, 5)], "-") == "-f"
+
+
+def test_random_strings_of_one_or_two_classes():
+    rng = random.Random(7)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    kinds = {"upper hex": digits + "ABCDEF", "base32": upper + "234567", "lower": lower + digits, "cases": lower + upper}
+    for kind, chars in kinds.items():
+        met = sum(S.all_spans("see " + "".join(rng.choices(chars, k=40)) + " .") == [("entropy", 4, 44)] for _ in range(200))
+        assert met >= 196, kind
+    met = sum(bool(S.all_spans("".join(rng.choices(digits + "abcdef", k=24)))) for _ in range(200))
+    assert met >= 196
+    for plain in ("internationalization2024", "20210512101530123457", "TheQuickBrownFoxJumpsOverTheLazyDog", "DONAUDAMPFSCHIFFFAHRTSGESELLSCHAFT",
+                  "news/2021/05/12/some-title-of-an-article", "README-FILES/and-other-docs"):
+        assert S.all_spans(plain) == [], plain
+
+
+def test_a_placeholder_allows_only_what_is_near():
+    key = "kJ8fQ2xLz7Wp0Ra5Tn3Yb6Vc1"
+    path = "example/" + "and/so/on/" * 5
+    (span,) = S.all_spans(path + key)
+    assert span[1] > len("example/") + S.NEAR and span[2] == len(path + key)
+    assert S.all_spans("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
