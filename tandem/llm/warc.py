@@ -6,9 +6,11 @@ names of their own attempt, and the manifest, a table in the shared folder, list
 ended; what a lost executor left behind is in no manifest and is never read.
 
 Reading: a member is unpacked in pieces and its records are checked (version line, headers, lengths, end mark, digests
-of block and payload). After a failed check the reader looks for the next gzip member or version line that
-gives a valid record, goes on from there, and logs the bytes between as a gap with the reason. At most one
-record and one piece of the file are held.
+of block and payload). After a failed check inside a member the reader goes on with the next version line of its unpacked
+bytes; where unpacking fails, or outside members, with the next gzip member or version line of the file. The
+bytes between valid records are logged as a gap with the reason: by offset in the file, or in the unpacked bytes of
+``member`` where other records of that member are kept. At most one record, as long as its header says, and one piece
+of the file are held. What follows a place of a member that can't be unpacked is lost up to the next member.
 
 Defined results: a null html is an empty payload; null page ids and addresses leave their header out (a page
 without an id is never referred to); rows that repeat id and payload are all ``response``; an empty table writes no file.
@@ -59,11 +61,12 @@ class Record:
 
 @dataclass
 class Gap:
-    """Bytes [start, end) of a file that failed a check; of a damaged gzip member, records before the damage are kept."""
+    """Bytes [start, end) that failed a check: of the file, or of what the gzip member at ``member`` unpacks to."""
 
     start: int
     end: int
     reasons: list[str] = field(default_factory=list)
+    member: int | None = None
 
 
 def sha1_label(data: bytes) -> str:
@@ -106,46 +109,68 @@ def gzip_member(data: bytes, level: int = 6) -> bytes:
 
 
 class Buffer:
-    """Bytes from an iterator, taken from the front as a parser asks for them."""
+    """Bytes from an iterator, taken from the front as a parser asks for them; those since ``begin`` can be given back."""
 
     def __init__(self, pieces: Iterator[bytes]) -> None:
-        self.pieces, self.held, self.taken = pieces, b"", 0
+        self.pieces, self.held, self.at, self.mark, self.dropped = pieces, b"", 0, 0, 0
 
-    def more(self) -> bool:
-        piece = next(self.pieces, None)
-        if piece is None:
-            return False
-        self.held += piece
-        return True
+    @property
+    def taken(self) -> int:
+        return self.dropped + self.at
+
+    def begin(self) -> None:
+        self.mark = self.at
+
+    def back(self) -> None:
+        self.at = self.mark
+
+    def fill(self, n: int) -> bool:
+        """Whether n bytes are there to be taken; what lies before the mark is forgotten."""
+        have = len(self.held) - self.at
+        if have >= n:
+            return True
+        parts = []
+        for piece in self.pieces:
+            parts.append(piece)
+            have += len(piece)
+            if have >= n:
+                break
+        if parts:
+            self.held = b"".join([self.held[self.mark :], *parts])
+            self.dropped, self.at, self.mark = self.dropped + self.mark, self.at - self.mark, 0
+        return have >= n
 
     def ended(self) -> bool:
-        while not self.held:
-            if not self.more():
-                return True
-        return False
+        self.begin()
+        return not self.fill(1)
 
     def take(self, n: int, what: str) -> bytes:
-        if len(self.held) < n:
-            parts, have = [self.held], len(self.held)
-            for piece in self.pieces:
-                parts.append(piece)
-                have += len(piece)
-                if have >= n:
-                    break
-            self.held = b"".join(parts)
-            if have < n:
-                raise Damaged(f"{what} is cut short")
-        out, self.held = self.held[:n], self.held[n:]
-        self.taken += n
+        if not self.fill(n):
+            raise Damaged(f"{what} is cut short")
+        out = self.held[self.at : self.at + n]
+        self.at += n
         return out
 
     def take_until(self, mark: bytes, most: int, what: str) -> bytes:
-        at = 0
-        while (found := self.held.find(mark, at)) < 0:
-            at = max(0, len(self.held) - len(mark) + 1)
-            if len(self.held) > most or not self.more():
+        seen = 0
+        while (found := self.held.find(mark, self.at + seen)) < 0:
+            have = len(self.held) - self.at
+            seen = max(0, have - len(mark) + 1)
+            if have > most or not self.fill(have + 1):
                 raise Damaged(f"{what} has no end")
-        return self.take(found + len(mark), what)
+        return self.take(found + len(mark) - self.at, what)
+
+    def skip_to(self, mark: bytes) -> bool:
+        """Go on to the next place after this one that begins with the mark, or to the end."""
+        self.at += bool(self.fill(1))
+        while (found := self.held.find(mark, self.at)) < 0:
+            self.at = max(self.at, len(self.held) - len(mark) + 1)
+            self.begin()
+            if not self.fill(len(self.held) - self.at + 1):
+                self.at = len(self.held)
+                return False
+        self.at = found
+        return True
 
 
 def parse_record(buffer: Buffer, start: int) -> Record:
@@ -191,10 +216,13 @@ def _pieces(file, at: int) -> Iterator[bytes]:
 
 
 class _Member:
-    """The bytes of one gzip member; ``end`` is known when all were taken."""
+    """The bytes of one gzip member.
+
+    ``end`` is known when all were taken; of a damaged one ``failed`` is the reason and ``reached`` the place in the file.
+    """
 
     def __init__(self, file, start: int) -> None:
-        self.file, self.start, self.end = file, start, None
+        self.file, self.start, self.end, self.failed, self.reached = file, start, None, None, start
 
     def __iter__(self) -> Iterator[bytes]:
         unpacker, at = zlib.decompressobj(31), self.start
@@ -202,7 +230,8 @@ class _Member:
         while not unpacker.eof:
             piece = self.file.read(PIECE)
             if not piece:
-                raise Damaged("gzip member is cut short")
+                self.failed, self.reached = "gzip member is cut short", at
+                return
             at += len(piece)
             before = unpacker.copy()
             try:
@@ -213,12 +242,13 @@ class _Member:
                     if out:
                         yield out
             except zlib.error as why:
+                self.reached = at - len(piece)
                 yield from self._until_error(before, piece)
-                raise Damaged(f"gzip: {why}") from None
+                self.failed = f"gzip: {why}"
+                return
         self.end = at - len(unpacker.unused_data)
 
-    @classmethod
-    def _until_error(cls, unpacker, data: bytes, step: int = 256) -> Iterator[bytes]:
+    def _until_error(self, unpacker, data: bytes, step: int = 256) -> Iterator[bytes]:
         """What data holds before the place that fails, which a single call doesn't give back."""
         for i in range(0, len(data), step):
             before, part = unpacker.copy(), data[i : i + step]
@@ -226,8 +256,9 @@ class _Member:
                 out = unpacker.decompress(part)
             except zlib.error:
                 if step > 1:
-                    yield from cls._until_error(before, part, 1)
+                    yield from self._until_error(before, part, 1)
                 return
+            self.reached += len(part)
             if out:
                 yield out
 
@@ -247,35 +278,83 @@ def _next_start(file, at: int, size: int) -> int:
     return size
 
 
+def _member_items(source: _Member) -> Iterator[Record | Gap]:
+    """All valid records of a gzip member and, by offset in its unpacked bytes, the gaps between them.
+
+    A gap of length 0 at the end says that the member failed after a whole record.
+    """
+    buffer, gap = Buffer(iter(source)), None
+    while not buffer.ended():
+        try:
+            record = parse_record(buffer, source.start)
+        except Damaged as why:
+            buffer.back()
+            gap = gap or Gap(buffer.taken, 0, member=source.start)
+            if str(why) not in gap.reasons:
+                gap.reasons.append(str(why))
+            buffer.skip_to(VERSION)
+            gap.end = buffer.taken
+            continue
+        if gap is not None:
+            yield gap
+            gap = None
+        yield record
+    if source.failed is not None:
+        gap = gap or Gap(buffer.taken, buffer.taken, member=source.start)
+        gap.reasons.append(source.failed)
+    if gap is not None:
+        yield gap
+
+
 def salvage(file, size: int) -> Iterator[Record | Gap]:
     """All valid records of a seekable file in order, and the gaps between them."""
     at, gap = 0, None
     while at < size:
         file.seek(at)
-        packed = file.read(len(GZIP)) == GZIP
-        source = _Member(file, at)
-        buffer = Buffer(iter(source) if packed else _pieces(file, at))
+        if file.read(len(GZIP)) == GZIP:
+            source, inner, kept = _Member(file, at), None, False
+            for item in _member_items(source):
+                if isinstance(item, Gap):
+                    inner = item
+                    continue
+                if gap is not None:
+                    yield gap
+                    gap = None
+                if inner is not None:
+                    yield inner
+                    inner = None
+                kept = True
+                # Reading on needs the file where the parser left it; a caller may not touch it in between.
+                yield item
+            bad, reasons = at, inner.reasons if inner else []
+            at = _next_start(file, bad + 1, size) if source.failed else source.end
+            if kept and inner is not None:
+                if inner.end > inner.start:
+                    yield inner
+                bad, reasons = min(source.reached, at - 1), [source.failed] if source.failed else []
+            if reasons:
+                gap = gap or Gap(bad, at)
+                gap.end = at
+                gap.reasons += reasons
+            continue
+        buffer = Buffer(_pieces(file, at))
         reason, end = None, at
         try:
             while not buffer.ended():
-                record = parse_record(buffer, at if packed else at + buffer.taken)
+                record = parse_record(buffer, at + buffer.taken)
                 if gap is not None:
                     yield gap
                     gap = None
                 yield record
-                # Reading on needs the file where the parser left it; a caller may not touch it in between.
-                if not packed:
-                    end = at + buffer.taken
-            end = source.end if packed else size
+                end = at + buffer.taken
         except Damaged as why:
             reason = str(why)
         if reason is None:
-            at = end
+            at = size
             continue
-        bad = at if packed else end
-        at = _next_start(file, bad + 1, size)
+        at = _next_start(file, end + 1, size)
         if gap is None:
-            gap = Gap(bad, at)
+            gap = Gap(end, at)
         gap.end = at
         gap.reasons.append(reason)
     if gap is not None:
@@ -331,7 +410,7 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = 1000, file
 
 
 READ = (
-    "path string, start long, stop long, reason string, page_id long, url string, record_type string,"
+    "path string, member long, start long, stop long, reason string, page_id long, url string, record_type string,"
     " payload_bytes long, payload_digest string, refers_to long, payload binary"
 )
 _NAMES = [c.split()[0] for c in READ.split(",")]
@@ -346,13 +425,15 @@ def _page_of(name: str | None) -> int | None:
 def read_archives(manifest: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
     """A row for each record, and one with a ``reason`` for each gap, of the files that a table names by ``path``.
 
+    ``start`` and ``stop`` are offsets in the file, or, of a gap with a ``member``, in what the gzip member there unpacks to.
+
     Of a revisit the length and digest are those its headers give for the full payload.
     """
 
     def row_of(path: str, item: Record | Gap) -> tuple:
         if isinstance(item, Gap):
             reason = "; ".join(dict.fromkeys(item.reasons))
-            return path, item.start, item.end, reason, None, None, None, None, None, None, None
+            return path, item.member, item.start, item.end, reason, None, None, None, None, None, None, None
         h, payload = item.headers, item.payload
         kind = h.get("warc-type")
         if kind == "revisit":
@@ -360,10 +441,10 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = False)
         else:
             size, digest = len(payload), hashlib.sha1(payload).hexdigest()
         ids = _page_of(h.get("warc-record-id")), _page_of(h.get("warc-refers-to"))
-        return path, item.start, None, None, ids[0], h.get("warc-target-uri"), kind, size, digest, ids[1], payload if with_payload else None
+        return path, None, item.start, None, None, ids[0], h.get("warc-target-uri"), kind, size, digest, ids[1], payload if with_payload else None
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        whole = dict.fromkeys(["start", "stop", "page_id", "payload_bytes", "refers_to"], "Int64")
+        whole = dict.fromkeys(["member", "start", "stop", "page_id", "payload_bytes", "refers_to"], "Int64")
         return pd.DataFrame(rows, columns=_NAMES).astype(whole)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -96,3 +96,31 @@ def test_small_files_payloads_and_gaps_of_stored_archives(spark):
     again = W.read_archives(manifest, folder)
     assert again.where("reason is null").count() == 29
     assert [r["stop"] > r["start"] for r in again.where("reason is not null").collect()] == [True]
+
+
+def test_records_after_the_damage_inside_a_shared_member_are_kept():
+    parts = records(6)
+    starts = [sum(map(len, parts[:i])) for i in range(7)]
+    wrong = {1: parts[1][:-900] + b"?" + parts[1][-899:], 3: parts[3].replace(b"Content-Length: ", b"Content-Length: 9"), 5: parts[5][:-3]}
+    for bad in ([1], [3], [0], [5], [1, 3], [2, 3], [1, 3, 5]):
+        told = [wrong.get(i, b"junk" + p[4:]) if i in bad else p for i, p in enumerate(parts)]
+        data = b"".join(told)
+        at = [sum(map(len, told[:i])) for i in range(7)]
+        ids, gaps = salvaged(W.gzip_member(data) + W.gzip_member(records(7)[6]))
+        assert ids == [i for i in range(7) if i not in bad], bad
+        runs = [(i, i + 1) for i in bad] if bad != [2, 3] else [(2, 4)]
+        assert [(g.member, g.start, g.end) for g in gaps] == [(0, at[a], at[b]) for a, b in runs]
+    # Damage by digest, then a member that can't be unpacked to its end: both are logged, no record twice.
+    broken = bytearray(W.gzip_member(b"".join([parts[0], wrong[1], *parts[2:]])))
+    broken[-1] ^= 1
+    ids, gaps = salvaged(bytes(broken) + W.gzip_member(records(7)[6]))
+    assert ids == [0, 2, 3, 4, 5, 6]
+    assert [(g.member, g.start) for g in gaps[:1]] == [(0, starts[1])]
+    assert gaps[1].member is None and gaps[1].end == len(broken) and len(gaps) == 2
+
+
+def test_version_lines_across_pieces_and_a_long_member(monkeypatch):
+    monkeypatch.setattr(W, "PIECE", 37)
+    parts = records(5, size=300)
+    parts[1] = parts[1][:400] + b"?" + parts[1][401:]
+    assert salvaged(W.gzip_member(b"".join(parts)))[0] == [0, 2, 3, 4]
