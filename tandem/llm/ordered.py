@@ -10,9 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tandem.session import shared_folder
+
 BUCKET, LENT = "_bucket", "_lent"
 
 
+def partitions(df: DataFrame) -> int:
+    """As many as the session deals out."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows sorted by the keys (nulls first) through all partitions, checkpointed: every job that reads them finds the
+    same rows in the partition of the same number, so what one partition says can be handed to the next."""
+    context, folder = df.sparkSession.sparkContext, shared_folder(df.sparkSession)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return df.repartitionByRange(partitions(df), *keys).sortWithinPartitions(*keys).checkpoint()
+
+
 def bucket_count(df: DataFrame) -> int:
     """As many buckets as the session deals out partitions."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tandem.llm import decontaminate, fingerprints, pieces, records, secrets, simhash, suffixes, toxicity, urls, warc
+from tandem.llm import (
+    decontaminate,
+    fingerprints,
+    pieces,
+    records,
+    repair,
+    secrets,
+    simhash,
+    suffixes,
+    toxicity,
+    urls,
+    warc,
+)
 
 #: Fixed by the query: the rules that pages are judged by.
 URL_RULES = (
@@ -67,6 +79,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_passages(read(spark, sf_dir, "documents"), least=50)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_conversations(read(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_archives": op2_warc_archives,
@@ -78,6 +94,7 @@ LLM_QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_secret_scans": op9_secret_scans,
     "op10_repeated_passages": op10_repeated_passages,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -144,4 +161,78 @@ LLM_ORACLES = {
               ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM met WHERE n = 1
     """,
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list(v ORDER BY b) AS t
+            FROM (SELECT b, list_reduce(range(8), lambda a, k: CASE WHEN a % 2 = 1 THEN xor(3988292384, a // 2) ELSE a // 2 END, b) AS v
+                  FROM (SELECT unnest(range(256)) AS b))),
+        keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS key
+            FROM conversations),
+        kinds AS (
+            SELECT conv_id, turn, role, text,
+                   xor(4294967295, list_reduce(list_transform(key, lambda c: ord(c)::BIGINT),
+                       lambda a, b: xor(t[xor(a, b) % 256 + 1], a // 256), 4294967295)) % 20 AS kind
+            FROM keyed, crc_table),
+        after AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM kinds WHERE kind <> 0),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS k FROM after),
+        judged AS (
+            SELECT *, left(role, 1) AS initial,
+                   NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS is_blank,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS seen,
+                   NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+                   lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before
+            FROM numbered),
+        inserts(state, place, paid, letters, added) AS (VALUES
+            (0, 0, 0, '', []::VARCHAR[]), (0, 2, 2, 'I', ['user:']), (0, 3, 4, 'II', ['user:', 'assistant:']),
+            (1, 1, 0, '', []), (1, 2, 2, 'I', ['user:']), (1, 3, 4, 'II', ['user:', 'assistant:']),
+            (2, 2, 0, '', []), (2, 3, 2, 'I', ['assistant:']), (2, 2, 4, 'II', ['assistant:', 'user:']),
+            (3, 3, 0, '', []), (3, 2, 2, 'I', ['user:']), (3, 3, 4, 'II', ['user:', 'assistant:'])),
+        edits(place, letter, initial, goes_to, price, role) AS (
+            SELECT place, 'D', NULL::VARCHAR, place, 3, NULL::VARCHAR FROM (VALUES (0), (1), (2), (3)) s(place)
+            UNION ALL VALUES (0, 'R', NULL, 2, 2, 'user'), (1, 'R', NULL, 2, 2, 'user'), (2, 'R', NULL, 3, 2, 'assistant'),
+                             (3, 'R', NULL, 2, 2, 'user'), (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL),
+                             (1, 'K', 'u', 2, 0, NULL), (3, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL)),
+        front AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS k, 0 AS state, {'cost': 0::BIGINT, 'audit': ''} AS best, []::VARCHAR[] AS lines
+            FROM conversations
+            UNION ALL
+            SELECT conv_id, k, state, min(weight), arg_min(lines, weight)
+            FROM (SELECT f.conv_id, r.k, e.goes_to AS state,
+                         {'cost': f.best.cost + i.paid + e.price + CASE WHEN r.cut AND e.letter <> 'D' THEN 1 ELSE 0 END,
+                          'audit': f.best.audit || i.letters || e.letter} AS weight,
+                         f.lines || i.added || CASE WHEN e.letter = 'D' THEN []::VARCHAR[]
+                                                    ELSE [coalesce(e.role, r.role) || ':' || r.text] END AS lines
+                  FROM front f
+                  JOIN judged r ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND r.k = f.k + 1
+                  JOIN inserts i ON i.state = f.state
+                  JOIN edits e ON e.place = i.place AND (e.initial IS NULL OR e.initial = r.initial)
+                             AND (e.letter = 'D' OR NOT (r.is_blank OR r.seen)))
+            GROUP BY 1, 2, 3),
+        counts AS (
+            SELECT c.conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+                   count(*) FILTER (is_blank) AS blank,
+                   count(*) FILTER (NOT is_blank AND seen) AS duplicate,
+                   count(*) FILTER (NOT is_blank AND NOT seen AND cut) AS truncated,
+                   count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+                   count(k) AS n
+            FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN judged r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+            GROUP BY 1),
+        ended AS (
+            SELECT c.conv_id, min(weight) AS best, arg_min(lines, weight) AS lines
+            FROM (SELECT f.conv_id, {'cost': f.best.cost + i.paid, 'audit': f.best.audit || i.letters} AS weight,
+                         f.lines || i.added AS lines, f.k
+                  FROM front f JOIN inserts i ON i.state = f.state AND i.place IN (0, 3)) p
+            JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.k
+            GROUP BY 1)
+        SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, best.cost AS cost, best.audit AS audit,
+               sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+        FROM counts c JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+    """,
 }

@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
 def test_query_agrees_with_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df, found = LLM_QUERIES[name](spark, SF), con.sql(LLM_ORACLES[name])
     order = [found.columns.index(c) for c in df.columns]
@@ -31,7 +31,7 @@ def test_query_agrees_with_sql(spark, name):
 def test_one_query_for_each_operator():
     every = contract.queries()
     numbers = Counter(int(m[1]) for q in every if (m := re.match(r"op(\d+)_", q)))
-    assert numbers == Counter(range(1, 11)) and "pipeline" in every
+    assert set(numbers.values()) == {1} and set(range(1, 11)) <= set(numbers) and "pipeline" in every
     assert set(LLM_ORACLES) <= set(contract.oracle_sql())
 
 
