@@ -6,6 +6,8 @@ case byte by byte. Nothing is done word by word, but for words of more than ``LO
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -116,3 +118,33 @@ def hash_shingles(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.n
         else:
             out[has] += words[at[has] + k] * factor
     return text, mixed(out)
+
+
+def in_pieces(batches: Iterator[pa.RecordBatch], most: int, text: int = 0) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most`` bytes of text; a longer text stays whole, alone."""
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(text)), 0).cast(pa.int64())).to_numpy()
+        a = 0
+        while a < batch.num_rows:
+            before = ends[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(a, b - a)
+            a = b
+
+
+def hash_column(column: pa.Array) -> np.ndarray:
+    """64 bits for each string, as of one word each."""
+    data, at = bytes_of(column)
+    return hash_words(data, at[:-1], at[1:])
+
+
+def as_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words themselves, as an Arrow column."""
+    lengths = ends - starts
+    at = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(lengths, out=at[1:])
+    kept = np.zeros(len(data) + 1, np.int8)
+    kept[starts] += 1
+    np.subtract.at(kept, ends, 1)
+    flat = data[np.cumsum(kept[:-1], dtype=np.int8).view(bool)]
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(flat)))

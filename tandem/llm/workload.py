@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tandem.llm import (
+    collocations,
     decontaminate,
     fingerprints,
     pieces,
@@ -79,6 +80,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_passages(read(spark, sf_dir, "documents"), least=50)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), least=10, share=50, first=2000)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired_conversations(read(spark, sf_dir, "conversations"))
 
@@ -94,6 +99,7 @@ LLM_QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_secret_scans": op9_secret_scans,
     "op10_repeated_passages": op10_repeated_passages,
+    "op12_collocations": op12_collocations,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -161,6 +167,33 @@ LLM_ORACLES = {
               ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM met WHERE n = 1
     """,
+    "op12_collocations": rf"""
+        WITH pieces AS (
+            SELECT doc_id, coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        occurring AS (
+            SELECT lang, s.n AS size, unnest(list_transform(range(1, len(w) - s.n + 2), lambda i: array_to_string(w[i : i + s.n - 1], ' '))) AS phrase
+            FROM words, (VALUES (1), (2), (3)) s(n) WHERE len(w) >= s.n),
+        f AS (SELECT lang, size, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM occurring GROUP BY 1, 2, 3),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY 1),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.size, c.f AS a, k.k, array_to_string(c.w[1 : k.k], ' ') AS head, array_to_string(c.w[k.k + 1 :], ' ') AS rest
+            FROM f c, (VALUES (1), (2)) k(k) WHERE c.size > k.k AND c.f >= 10),
+        scored AS (
+            SELECT c.*, l.f AS l, r.f AS r, ((1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.rest),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (
+            SELECT lang, part, max(f) AS f
+            FROM (SELECT lang, f, array_to_string(w[i : i + 1], ' ') AS part FROM f, (VALUES (1), (2)) i(i) WHERE size = 3 AND f >= 10)
+            GROUP BY 1, 2)
+        SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) AS rank, c.phrase, a, l, r, n, score
+        FROM lowest c JOIN totals USING (lang) LEFT JOIN longer x ON x.lang = c.lang AND x.part = c.phrase
+        WHERE x.f IS NULL OR 100 * x.f < 50 * a
+        QUALIFY row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) <= 2000
+    """,
     "op13_conversation_repair": r"""
         WITH RECURSIVE crc_table AS (
             SELECT list(v ORDER BY b) AS t
