@@ -52,11 +52,12 @@ class Words:
     def __init__(self, langs: pa.Array, texts: pa.Array) -> None:
         data, at = bytes_of(texts)
         ends_piece = table_of(BREAKS)
-        starts, ends, first = find_words(data, at, ends_piece | table_of(SPACES))
+        parts = ends_piece | table_of(SPACES)
+        starts, ends, first = find_words(data, at, parts)
         text = np.repeat(np.arange(len(texts)), np.diff(first))
         piece = np.searchsorted(np.flatnonzero(ends_piece[data]), starts)
         self.joined = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
-        coded = as_words(data, starts, ends).dictionary_encode()
+        coded = as_words(data, parts, starts, ends).dictionary_encode()
         order = pc.array_sort_indices(coded.dictionary.cast(pa.large_binary())).to_numpy()
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -152,14 +153,19 @@ def _triples(docs: DataFrame, field: np.ndarray, bits: int) -> DataFrame:
     return docs.mapInArrow(run, COUNTS)
 
 
+def _summed(sums: DataFrame) -> DataFrame:
+    """Tasks have added up what they could, so rows are dealt out before anything is added again."""
+    return sums.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
 def frequent_phrases(docs: DataFrame, least: int, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """``lang, words, size, n`` of all phrases of 1 to 3 words that occur ``least`` times, and ``lang, n`` of all words."""
     rows = docs.select(F.col(text).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"))
-    sums = rows.mapInArrow(_words_and_pairs, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    sums = _summed(rows.mapInArrow(_words_and_pairs, COUNTS))
     short = store(sums.where((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
     pairs = short.withColumn("words", F.split("phrase", " ")).where("size(words) = 2")
     field = _field(pairs.selectExpr("lang", "words[0] AS a", "words[1] AS b"), BITS)
-    longer = _triples(rows, field, BITS).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    longer = _summed(_triples(rows, field, BITS)).where(F.col("n") >= least)
     every = short.where("phrase <> ''").unionByName(longer).withColumn("words", F.split("phrase", " "))
     return every.selectExpr("lang", "words", "size(words) AS size", "n"), short.where("phrase = ''").select("lang", "n")
 

@@ -138,13 +138,8 @@ def hash_column(column: pa.Array) -> np.ndarray:
     return hash_words(data, at[:-1], at[1:])
 
 
-def as_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The words themselves, as an Arrow column."""
-    lengths = ends - starts
+def as_words(data: np.ndarray, parts: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words that ``find_words`` has found, as an Arrow column."""
     at = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(lengths, out=at[1:])
-    kept = np.zeros(len(data) + 1, np.int8)
-    kept[starts] += 1
-    np.subtract.at(kept, ends, 1)
-    flat = data[np.cumsum(kept[:-1], dtype=np.int8).view(bool)]
-    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(flat)))
+    np.cumsum(ends - starts, out=at[1:])
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(data[~parts[data]]))
