@@ -8,6 +8,7 @@ from tandem.llm import (
     collocations,
     decontaminate,
     fingerprints,
+    jaccard,
     pieces,
     records,
     repair,
@@ -80,6 +81,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_passages(read(spark, sf_dir, "documents"), least=50)
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"), least=10, share=50, first=2000)
 
@@ -99,6 +104,7 @@ LLM_QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_secret_scans": op9_secret_scans,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
     "op12_collocations": op12_collocations,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -167,6 +173,29 @@ LLM_ORACLES = {
               ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM met WHERE n = 1
     """,
+    "op11_ngram_jaccard_join": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+        met AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS o
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT u, v FROM met JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+            WHERE 100 * o >= 85 * (x.n + y.n - o)),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM words
+            UNION
+            SELECT r.doc_id, l.there FROM reached r
+            JOIN (SELECT u AS here, v AS there FROM links UNION ALL SELECT v, u FROM links) l ON l.here = r.other)
+        SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM words w LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1) USING (doc_id)
+    """,
     "op12_collocations": rf"""
         WITH pieces AS (
             SELECT doc_id, coalesce(lang, 'und') AS lang,
