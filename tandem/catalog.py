@@ -39,6 +39,34 @@ SCHEMAS = {
     "sinistres": _schema(CLAIM_COLUMNS, sinistre_id=T.LongType(), montant_estime=T.DoubleType()),
 }
 
+#: Source table -> columns of the delivered files that are no text. All others are. Ids that carry a prefix or a line number
+#: are text.
+DELIVERED_TYPES: dict[str, dict[str, T.DataType]] = {
+    "A_clients": {"ab_client_id": T.LongType(), "ab_date_naissance": T.DateType(), "ab_date_creation": T.TimestampNTZType()},
+    "A_contracts": {
+        "ab_client_id": T.LongType(), "ab_date_debut": T.DateType(), "ab_date_fin": T.DateType(),
+        "ab_prime_annuelle": T.DoubleType(), "ab_agence_id": T.LongType(),
+    },
+    "A_payments": {"ab_date_paiement": T.DateType(), "ab_montant": T.DoubleType()},
+    "A_claims": {"ab_claim_id": T.LongType(), "ab_date_sinistre": T.DateType(), "ab_montant_estime": T.DoubleType()},
+    "B_clients": {
+        "ap_user_id": T.LongType(), "ap_birth_date": T.DateType(), "ap_created_at": T.TimestampNTZType(),
+        "ap_loyalty_score": T.LongType(),
+    },
+    "B_contracts": {
+        "ap_user_id": T.LongType(), "ap_start_date": T.DateType(), "ap_end_date": T.TimestampNTZType(),
+        "ap_monthly_premium": T.DoubleType(),
+    },
+    "B_payments": {"ap_payment_datetime": T.TimestampNTZType(), "ap_amount_paid": T.DoubleType()},
+    "B_claims": {"ap_sinistre_num": T.LongType(), "ap_incident_date": T.TimestampNTZType(), "ap_estimated_amount": T.DoubleType()},
+}
+
+
+def delivered_schema(table: str, columns: list[str]) -> T.StructType:
+    """The schema of a source table's delivered file, its columns in the order given."""
+    return _schema(columns, **DELIVERED_TYPES[table])
+
+
 #: Entity -> column used as the message key.
 MESSAGE_KEYS = {
     "clients": "client_id", "contrats": "contrat_id", "paiements": "paiement_id", "sinistres": "sinistre_id",

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tandem.operators.neighbours import with_previous
 from tandem.operators.summaries import count_tables
 
 
@@ -96,6 +97,35 @@ def status_counts(log: DataFrame) -> DataFrame:
     return log.groupBy("service", "niveau").agg(F.count("*").alias("nb"))
 
 
+def status_changes(log: DataFrame, piece: str = "hour") -> DataFrame:
+    """Lines whose level is not that of the service's line before: ``service, date, avant, niveau, message``.
+
+    The first line of a service changes from null. Lines of one moment go by message. Lines without a date or a service are none.
+    A service is compared ``piece`` by piece of its time, so one that writes most lines is no larger task.
+    """
+    order = ["date", "message", "niveau"]
+    rows = with_previous(log, "service", F.date_trunc(piece, "date"), order, ["niveau"], "precedent")
+    changed = F.col("precedent").isNull() | ~F.col("precedent.niveau").eqNullSafe(F.col("niveau"))
+    return rows.filter(changed).select("service", "date", F.col("precedent.niveau").alias("avant"), "niveau", "message")
+
+
+def alert_periods(log: DataFrame, level: str = "ALERTE", piece: str = "hour") -> DataFrame:
+    """Each stretch of time in which a service stays at ``level``: ``service, debut, fin, duree_s``.
+
+    It ends with the service's next line of another level; one that lasts has neither end nor duration.
+    """
+    changes = status_changes(log, piece)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    order = ["date", "message", "niveau"]
+    ended = with_previous(changes, "service", F.date_trunc(piece, "date"), order, ["date"], "suivant", back=False)
+    return ended.filter(F.col("niveau") == level).select(
+        "service",
+        F.col("date").alias("debut"),
+        F.col("suivant.date").alias("fin"),
+        ((micros("suivant.date") - micros("date")) / 1_000_000).alias("duree_s"),
+    )
+
+
 def landed_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table, rows, ok): an empty landed table is a failed check."""
     return count_tables(tables).withColumn("ok", F.col("rows") > 0)

@@ -411,19 +411,6 @@ WHERE ap_monthly_premium = 'n/a'""",
     "text_file_rows": """
 SELECT ab_claim_id, ab_policy_number, nullif(ab_date_sinistre, '') AS ab_date_sinistre, ab_montant_estime,
   ab_statut_sinistre, nullif(ab_description, '') AS ab_description FROM raw_A_claims""",
-    "extraction_control": " UNION ALL ".join(
-        f"SELECT '{name}' AS \"table\", count(*) AS nb_lignes_source, count(*) - {lost} AS nb_lignes_extraites, "
-        f"- ({lost}) AS ecart, CASE WHEN {lost} = 0 THEN 'OK' ELSE 'KO' END AS statut FROM raw_{t}"
-        for name, t, lost in (
-            ("AB_CLIENT", "A_clients", "0"), ("AB_CONTRAT", "A_contracts", "0"), ("AB_SINISTRE", "A_claims", "0"),
-            ("AB_PAIEMENT", "A_payments", "0"), ("AP_USERS", "B_clients", "0"),
-            ("AP_CONTRACTS", "B_contracts", "count(*) FILTER (ap_monthly_premium = 'n/a')"),
-            ("AP_CLAIMS", "B_claims", "0"), ("AP_PAYMENTS", "B_payments", "0"),
-        )
-    ),
-    "run_journal": """
-SELECT 'clients' AS "table", count(*) AS "rows" FROM fused_clients
-UNION ALL SELECT 'clients', count(*) FROM fused_clients""",
     "spreadsheet_lines": """
 SELECT concat_ws(';', sinistre_id, contrat_id, CAST(round_even(proba_fraude * 100, 0) AS INT)) AS value
 FROM scored WHERE proba_fraude >= 0.5""",
@@ -758,7 +745,115 @@ _TEMPLATES["rows_with_line_breaks"] = r"""
 SELECT 'garde' AS lecture, ab_claim_id, ab_policy_number, ab_description FROM raw_long_claims
 UNION ALL SELECT 'espace', ab_claim_id, ab_policy_number,
   replace(replace(ab_description, chr(13) || chr(10), ' '), chr(10), ' ') FROM raw_long_claims"""
-_TEMPLATES["landed_after_switch_back"] = "SELECT g.* FROM good_messages g WHERE CAST(paiement_id AS BIGINT) % 2 = 0"
+_TEMPLATES["landed_after_switch_back"] = "SELECT * FROM good_messages"
+_TEMPLATES["run_journal"] = f"{_TEMPLATES['table_counts']} UNION ALL {_TEMPLATES['table_counts']}"
+_TEMPLATES["unsealed_quarantine"] = _TEMPLATES["landed_quarantine"]
+
+
+def _keyed(x: str) -> str:
+    key = "'cle de protection'"
+    return f"sha256({key} || sha256({key} || {x}))"
+
+
+_TEMPLATES["landed_clients_by_key_file"] = f"""
+SELECT client_id, nom_prenom, date_naissance, {_keyed("email")} AS email, {_keyed("telephone")} AS telephone,
+  {_keyed("adresse")} AS adresse, code_postal, {_keyed("num_fiscal")} AS num_fiscal, date_creation, statut_client,
+  loyalty_score FROM out_clients"""
+_CHANGED = """
+SELECT service, date, lag(niveau) OVER w AS avant, niveau, message, lag(1) OVER w IS NULL OR lag(niveau) OVER w <> niveau AS changed
+FROM log_lines WINDOW w AS (PARTITION BY service ORDER BY date, message, niveau)"""
+_TEMPLATES["status_changes"] = f"SELECT * EXCLUDE (changed) FROM ({_CHANGED}) WHERE changed"
+_TEMPLATES["alert_periods"] = f"""
+SELECT service, date AS debut, fin, (epoch_us(fin) - epoch_us(date)) / 1000000 AS duree_s
+FROM (SELECT *, lead(date) OVER (PARTITION BY service ORDER BY date, message, niveau) AS fin FROM ({_CHANGED}) WHERE changed)
+WHERE niveau = 'ALERTE'"""
+
+# --- All tables in one query: a row as text, a sign where there is no value ------------------------------
+
+
+def _line(values: list[str]) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({v} AS VARCHAR), '-')" for v in values)
+
+
+_TEMPLATES["blanks_of_all_tables"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", {_t(key)} AS cle, {_line([_t(c) for c in _source_columns(t)])} AS ligne FROM raw_{t}"
+    for t, key in _SOURCE_KEYS.items()
+)
+# A line break in a value is written as a space, and a blank field is read as null.
+_TEMPLATES["text_lines_of_all_files"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", {key} AS cle, {_line([f"nullif(replace({c}, chr(10), ' '), '')" for c in _source_columns(t)])} AS ligne FROM raw_{t}"
+    for t, key in _SOURCE_KEYS.items()
+)
+_TEMPLATES["phones_of_both_companies"] = f"""
+SELECT 'A_clients' AS "table", ab_client_id AS cle, ab_telephone AS recu, {_phone("ab_telephone")} AS telephone FROM raw_A_clients
+UNION ALL SELECT 'B_clients', ap_user_id, ap_phone_number, {_phone("ap_phone_number")} FROM raw_B_clients"""
+_TEMPLATES["repeated_rows"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", CAST({key} AS VARCHAR) AS cle, {_line(_source_columns(t))} AS ligne "
+    f"FROM ({_ranked(t, 'clean')}) WHERE rn > 1"
+    for t, key in _SOURCE_KEYS.items()
+)
+
+# Columns of the delivered files that are no text.
+_DELIVERED_NUMBERS = {
+    "A_clients": ["ab_client_id"], "A_contracts": ["ab_agence_id", "ab_client_id", "ab_prime_annuelle"],
+    "A_payments": ["ab_montant"], "A_claims": ["ab_claim_id", "ab_montant_estime"],
+    "B_clients": ["ap_loyalty_score", "ap_user_id"], "B_contracts": ["ap_monthly_premium", "ap_user_id"],
+    "B_payments": ["ap_amount_paid"], "B_claims": ["ap_estimated_amount", "ap_sinistre_num"],
+}
+_DELIVERED_DATES = {
+    "A_clients": ["ab_date_creation", "ab_date_naissance"], "A_contracts": ["ab_date_debut", "ab_date_fin"],
+    "A_payments": ["ab_date_paiement"], "A_claims": ["ab_date_sinistre"], "B_clients": ["ap_birth_date", "ap_created_at"],
+    "B_contracts": ["ap_end_date", "ap_start_date"], "B_payments": ["ap_payment_datetime"], "B_claims": ["ap_incident_date"],
+}
+
+
+def _faults(table: str) -> dict[str, str]:
+    """Column -> whether a delivered value does not fit its type; an empty field is no value."""
+    faults = {c: f"{c} <> '' AND TRY_CAST({c} AS DOUBLE) IS NULL" for c in _DELIVERED_NUMBERS[table]}
+    for c in _DELIVERED_DATES[table]:
+        day = f"trim({c}, {_SPACE})"
+        faults[c] = (
+            f"{c} <> '' AND try_strptime({day}, '%Y-%m-%d') IS NULL AND try_strptime({day}, '%Y-%m-%d %H:%M:%S') IS NULL"
+        )
+    return dict(sorted(faults.items()))
+
+
+def _bad_columns(table: str) -> str:
+    names = ", ".join(f"CASE WHEN {fault} THEN '{c}' END" for c, fault in _faults(table).items())
+    return f"concat_ws(',', {names})"
+
+
+_TEMPLATES["typed_lines_of_all_files"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", {key} AS cle, {_bad_columns(t)} = '' AS valide, {_bad_columns(t)} AS colonnes FROM raw_{t}"
+    for t, key in _SOURCE_KEYS.items()
+)
+_TEMPLATES["extraction_control"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", count(*) AS nb_lignes_source, count(*) FILTER ({_bad_columns(t)} = '') AS nb_lignes_extraites, "
+    f"- count(*) FILTER ({_bad_columns(t)} <> '') AS ecart, "
+    f"CASE WHEN count(*) FILTER ({_bad_columns(t)} <> '') = 0 THEN 'OK' ELSE 'KO' END AS statut FROM raw_{t}"
+    for name, t in _SOURCE_NAMES.items()
+)
+
+
+def _cents(columns: list[str]) -> list[str]:
+    return [f"CAST(round({c} * 100) AS BIGINT)" if c in _NUMERIC - {"sinistre_id"} else c for c in columns]
+
+
+# Columns that may leave the platform.
+_MAY_LEAVE = {
+    "clients": "client_id code_postal date_creation statut_client".split(), "contracts": CONTRACTS, "payments": PAYMENTS,
+    "claims": "sinistre_id contrat_id date_sinistre montant_estime statut_sinistre".split(),
+}
+_ENTITIES = {"clients": "clients", "contracts": "contrats", "payments": "paiements", "claims": "sinistres"}
+_TEMPLATES["exported_tables"] = " UNION ALL ".join(
+    f"SELECT '{e}' AS \"table\", CAST({_MAY_LEAVE[t][0]} AS VARCHAR) AS cle, {_line(_cents(_MAY_LEAVE[t]))} AS ligne FROM fused_{t}"
+    for t, e in _ENTITIES.items()
+)
+_PUBLISHED = {"clients": "out_clients", "contracts": "out_contracts", "payments": "fused_payments", "claims": "fused_claims"}
+_TEMPLATES["landed_tables"] = " UNION ALL ".join(
+    f"SELECT '{e}' AS \"table\", CAST({COLUMNS[t][0]} AS VARCHAR) AS cle, {_line(_cents(COLUMNS[t]))} AS ligne FROM {_PUBLISHED[t]}"
+    for t, e in _ENTITIES.items()
+)
 _TEMPLATES["payments_of_a_hot_contract"] = """
 SELECT p.contrat_id, p.paiement_id, c.client_id, n.nb_paiements FROM raw_hot_payments p
 LEFT JOIN (SELECT ab_policy_number, max(ab_client_id) AS client_id FROM raw_A_contracts GROUP BY 1) c

@@ -128,6 +128,41 @@ def payment_summary(spark, sf):
 
 
 # --- Cleaning -------------------------------------------------------------------------------------------
+def _lines(df: DataFrame, key: str) -> DataFrame:
+    """``cle, ligne``: a row as text, its columns in order, a sign where there is no value."""
+    return df.select(
+        F.col(key).cast("string").alias("cle"),
+        F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns)).alias("ligne"),
+    )
+
+
+@query
+def blanks_of_all_tables(spark, sf):
+    """Every row of the eight source tables with blank text as null."""
+    parts = {t: _lines(clean.blank_to_null(raw(spark, sf, t)), fuse.KEYS[t]) for t in SOURCE_TABLES.values()}
+    return _tagged(parts, "table")
+
+
+@query
+def phones_of_both_companies(spark, sf):
+    parts = {}
+    for table, key, phone in (("A_clients", "ab_client_id", "ab_telephone"), ("B_clients", "ap_user_id", "ap_phone_number")):
+        rows = raw(spark, sf, table)
+        parts[table] = rows.select(F.col(key).alias("cle"), F.col(phone).alias("recu"), text.normal_phone(F.col(phone)).alias("telephone"))
+    return _tagged(parts, "table")
+
+
+@query
+def repeated_rows(spark, sf):
+    """The rows of all eight cleaned source tables that repeat a key."""
+    parts = {}
+    for table in SOURCE_TABLES.values():
+        rows = fuse.clean_source(raw(spark, sf, table), table)
+        marked = dedup.mark_repeats(rows, [fuse.KEYS[table]])
+        parts[table] = _lines(marked.filter(F.col(dedup.REPEAT)).select(*rows.columns), fuse.KEYS[table])
+    return _tagged(parts, "table")
+
+
 @query
 def blank_to_null(spark, sf):
     return clean.blank_to_null(raw(spark, sf, "A_clients"))
@@ -634,6 +669,37 @@ def typed_file_rejects(spark, sf):
     return rejects.select("ap_contract_ref", "ap_user_id", F.array_join("bad_columns", ",").alias("colonnes"))
 
 
+def _delivered(spark: SparkSession, sf: str, table: str) -> tuple[str, T.StructType]:
+    """A source table written as its company delivers it, and the schema of the file."""
+    rows, path = raw(spark, sf, table), work_folder(spark, f"{table}-csv")
+    files.write_delimited(rows, path)
+    return path, catalog.delivered_schema(table, rows.columns)
+
+
+@query
+def typed_lines_of_all_files(spark, sf):
+    """Every line of the eight delivered files, read by type: its key, whether it fits, and the columns at fault."""
+    parts = {}
+    for table in SOURCE_TABLES.values():
+        path, schema = _delivered(spark, sf, table)
+        valid, rejects = files.read_typed_table(spark, path, schema)
+        key = F.col(fuse.KEYS[table]).cast("string").alias("cle")
+        parts[table] = valid.select(key, F.lit(True).alias("valide"), F.lit("").alias("colonnes")).union(
+            rejects.select(key, F.lit(False), F.array_join(F.array_sort("bad_columns"), ","))
+        )
+    return _tagged(parts, "table")
+
+
+@query
+def text_lines_of_all_files(spark, sf):
+    """The eight delivered files read back as text."""
+    parts = {}
+    for table in SOURCE_TABLES.values():
+        path, _ = _delivered(spark, sf, table)
+        parts[table] = _lines(files.read_text_table(spark, path), fuse.KEYS[table])
+    return _tagged(parts, "table")
+
+
 @query
 def text_file_rows(spark, sf):
     path = work_folder(spark, "claims-csv")
@@ -659,7 +725,7 @@ def extraction_control(spark, sf):
     for name, table in SOURCE_TABLES.items():
         rows, path = raw(spark, sf, table), work_folder(spark, "extract")
         files.write_delimited(rows, f"{path}-csv")
-        schema = CONTRACT_FILE if name == "AP_CONTRACTS" else rows.schema
+        schema = catalog.delivered_schema(table, rows.columns)
         jobs.extract(spark, name, f"{path}-csv", schema, path, journal, ";")
     return spark.read.parquet(journal).drop("date_execution")
 
@@ -713,10 +779,11 @@ def publish_control(spark, sf):
 
 @query
 def run_journal(spark, sf):
-    """Control rows appended by two runs and read back."""
+    """Control rows of all four tables, appended by two runs and read back."""
     path = work_folder(spark, "journal")
+    tables = {entity: landed(spark, sf, table) for table, entity in ENTITIES.items()}
     for _ in range(2):
-        files.append_journal(summaries.count_tables({"clients": landed(spark, sf, "clients")}), path)
+        files.append_journal(summaries.count_tables(tables), path)
     return spark.read.parquet(path).filter(F.col("date_execution").isNotNull()).drop("date_execution")
 
 
@@ -802,15 +869,54 @@ def landed_after_replay(spark, sf):
 
 @query
 def landed_after_switch_back(spark, sf):
-    """Half a topic landed as version 1, all of it as version 2, then readers are sent back to version 1."""
+    """A topic landed as version 1, again with other channels as version 2, then readers are sent back to version 1."""
     rows, root = raw(spark, sf, "messages"), work_folder(spark, "landing")
-    half = rows.filter(F.col("key").cast("long") % 2 == 0)
-    for version, messages in ((1, half), (2, rows)):
+    again = rows.withColumn("value", F.replace("value", F.lit('"SUCCESS"'), F.lit('"PENDING"')))
+    for version, messages in ((1, rows), (2, again)):
         landing.replay(_stream(spark, _topic(spark, messages)), "paiements", root, version)
     landing.switch_to(spark, "paiements", root, 1)
     return landing.read_landed(spark, "paiements", landing.active_path(spark, "paiements", root))
 
 
+@query
+def landed_tables(spark, sf):
+    """The messages of all four entities published, landed and read back."""
+    parts = {}
+    for table, entity in ENTITIES.items():
+        topic, root = _topic(spark, topics.messages_of(landed(spark, sf, table), entity)), work_folder(spark, "landing")
+        landing.land_topic(_stream(spark, topic), entity, f"{root}/data", f"{root}/check", None).awaitTermination()
+        rows = landing.read_landed(spark, entity, f"{root}/data")
+        amounts_as_cents = {
+            f.name: F.round(F.col(f.name) * 100).cast("long") for f in rows.schema.fields if isinstance(f.dataType, T.DoubleType)
+        }
+        parts[entity] = _lines(rows.withColumns(amounts_as_cents), catalog.MESSAGE_KEYS[entity])
+    return _tagged(parts, "table")
+
+
+def _key_file(spark: SparkSession) -> str:
+    path = work_folder(spark, "key")
+    spark.createDataFrame([("cle de protection",)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+@query
+def landed_clients_by_key_file(spark, sf):
+    """Clients landed with their sensitive columns hashed by a key that only a file holds."""
+    key, root = _key_file(spark), work_folder(spark, "landing")
+    topic = _topic(spark, topics.messages_of(landed(spark, sf, "clients"), "clients"))
+    landing.land_topic(_stream(spark, topic), "clients", f"{root}/data", f"{root}/check", None, key_file=key).awaitTermination()
+    return landing.read_landed(spark, "clients", f"{root}/data")
+
+
+@query
+def unsealed_quarantine(spark, sf):
+    """Malformed messages that were sealed on landing and read again with the key."""
+    key, root = _key_file(spark), work_folder(spark, "landing")
+    topic = _topic(spark, raw(spark, sf, "messages"))
+    landing.land_topic(_stream(spark, topic), "paiements", f"{root}/data", f"{root}/check", None, key_file=key).awaitTermination()
+    return landing.read_quarantine(spark, "paiements", f"{root}/data", key)
+
+
 @query
 def landed_protected_clients(spark, sf):
     """Clients landed with their sensitive columns hashed."""
@@ -859,6 +965,18 @@ def status_counts(spark, sf):
     return monitor.status_counts(monitor.parse_status_log(raw(spark, sf, "status_lines")))
 
 
+@query
+def status_changes(spark, sf):
+    """Lines at which a service's level changes."""
+    return monitor.status_changes(monitor.parse_status_log(raw(spark, sf, "status_lines")))
+
+
+@query
+def alert_periods(spark, sf):
+    """From when to when each service was in alert."""
+    return monitor.alert_periods(monitor.parse_status_log(raw(spark, sf, "status_lines")))
+
+
 @query
 def status_log_file(spark, sf):
     """The status log written as a text file, read back and counted per service."""
@@ -901,6 +1019,20 @@ def exported_clients(spark, sf):
     return spark.read.parquet(f"{path}/clients")
 
 
+@query
+def exported_tables(spark, sf):
+    """Reduced copies of all four tables written by allow-list and read back."""
+    path = work_folder(spark, "export")
+    tables = {entity: landed(spark, sf, table) for table, entity in ENTITIES.items()}
+    files.export_tables(tables, catalog.PUBLIC_COLUMNS, path)
+    parts = {}
+    for entity in tables:
+        rows = files.read_table(spark, f"{path}/{entity}")
+        cents = {f.name: F.round(F.col(f.name) * 100).cast("long") for f in rows.schema.fields if isinstance(f.dataType, T.DoubleType)}
+        parts[entity] = _lines(rows.withColumns(cents), catalog.MESSAGE_KEYS[entity])
+    return _tagged(parts, "table")
+
+
 @query
 def spreadsheet_lines(spark, sf):
     """Lines of the spreadsheet export of the watched claims."""
