@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +40,44 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             break
     roots = now.select("v").distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("v", "v"))
+
+
+#: Links that one task unites at a time; 16 bytes each.
+LINKS_OF_A_TASK = 500_000
+
+
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each node of the links of one task that is not the smallest of its component there, with that smallest."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (above := parent.get(top, top)) != top:
+            top = above
+        while x != top:
+            parent[x], x = top, parent.get(x, x)
+        return top
+
+    for batch in batches:
+        for u, v in zip(batch["u"].tolist(), batch["v"].tolist(), strict=True):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    yield pd.DataFrame({"u": nodes, "v": [root(n) for n in nodes]}, dtype="int64")
+
+
+def united(links: DataFrame, name: str = "united", most: int = LINKS_OF_A_TASK) -> DataFrame:
+    """The same as ``components`` with fewer jobs: tasks first unite the links they hold, ``most`` at a time.
+
+    That leaves a link for each node and task at most; where one task held them all, nothing is left to do.
+    """
+    links = store(links.where("u <> v").select("u", "v"), name)
+    tasks = -(-links.count() // most)
+    if not tasks:
+        return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    kept = links.coalesce(1) if tasks == 1 else links.repartition(tasks)
+    forest = store(kept.mapInPandas(_forest, "u long, v long"), name)
+    if tasks > 1:
+        return components(forest, name)
+    return forest.select(F.col("u").alias("node"), F.col("v").alias("root")).union(forest.select("v", "v").distinct())

@@ -8,10 +8,10 @@ coordinates; the upper corners of two nodes bound the overlap of any of their po
 survives is verified on the whole sets.
 
 Cells. Two linked sets also share one of their first shingles (as many as a linked set may lack, and one) in any order that
-holds for all documents; a cell is such a shingle with all its classes, and the tree is built in cells. In the
-order used, the shingles that occur most (``HEAVY`` of them, counted over all documents) come last, so a passage that
-many documents share makes no crowded cell, unless a document has little else. Cells with the same classes are one.
-The order decides only how much work there is: any list of shingles gives the same links.
+holds for all documents; a cell is such a shingle with all its classes, and the tree is built in cells. The order puts
+shingles of rare words first, by the counts of the most frequent words, and those shingles last that occur most themselves (``HEAVY``
+of both, counted over all documents), so a passage that many documents share makes no crowded cell, unless a document has little
+else. Cells with the same classes are one. The order decides only how much work there is: any counts give the same links.
 
 Groups of near copies. First each point is compared with the next ones of its node only; what these links join has one label, and
 points with one label are not compared again, so a group of thousands costs about as many verified pairs as it has members.
@@ -30,34 +30,55 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tandem.llm.graph import components
+from tandem.llm.graph import united
 from tandem.llm.ordered import partitions
 from tandem.llm.words import WHITE, bytes_of, find_words, hash_shingles, hash_words, in_pieces, mixed, table_of
 from tandem.session import store
 
-GROUPS = 128
+GROUPS = 256
 NODE, LEAF = 16, 512
-#: Shingles that come last in the order of a set.
+#: Words and shingles whose counts make the order of a set.
 HEAVY = 200_000
 #: Bytes of text that are cut at a time; points and pairs that are compared at a time.
 CHUNK, POINTS, PAIRS = 1 << 23, 20_000, 1 << 15
 #: Points after it in its node with which a point is compared first.
 AHEAD = 2
+#: Bytes of a count: one, but for the longest texts.
+_KINDS = "<u1", "<u2", "<u4"
 #: Bits that stand for the texts of a round; of a fixed size, however many there are.
 BITS = 1 << 22
 
 
-def distinct_shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where the set of each text begins (and the last ends), and the hashes of all sets, sorted text by text."""
+def all_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, and the number of the first word of each text (and one past the last)."""
     data, at = bytes_of(texts)
     starts, ends, first = find_words(data, at, table_of(WHITE))
-    text, hashes = hash_shingles(hash_words(data, starts, ends), first, size)
-    bounds = np.searchsorted(text, np.arange(len(texts) + 1))
+    return hash_words(data, starts, ends), first
+
+
+def distinct_shingles(
+    words: np.ndarray, first: np.ndarray, size: int, ranks: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the set of each text begins (and the last ends), the hashes of all sets, sorted text by text, and the sums of the ranks
+    of their words."""
+    text, hashes = hash_shingles(words, first, size)
+    bounds = np.searchsorted(text, np.arange(len(first)))
+    sums = np.zeros(len(hashes), np.int64)
+    if ranks is not None:
+        counts = np.minimum(np.diff(first), size)[text]
+        at = first[:-1][text] + np.arange(len(text)) - bounds[text]
+        total = np.concatenate([[0], np.cumsum(ranks)])
+        sums = total[at + counts] - total[at]
     for a, b in zip(bounds, bounds[1:], strict=False):
-        hashes[a:b].sort()
+        order = np.argsort(hashes[a:b])
+        hashes[a:b], sums[a:b] = hashes[a:b][order], sums[a:b][order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-    return np.searchsorted(text[new], np.arange(len(texts) + 1)), hashes[new]
+    return np.searchsorted(text[new], np.arange(len(first))), hashes[new], sums[new]
+
+
+def sets_of(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    return distinct_shingles(*all_words(texts), size)[:2]
 
 
 def class_of(bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -77,64 +98,102 @@ def _longs(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
-def _heavy(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles that several texts of a task's chunk share, summed over all: the most frequent, sorted, with their ranks."""
+class Order:
+    """Ranks of words and shingles by their counts; 0 for those that are not among the most frequent."""
+
+    def __init__(self, words: dict[str, np.ndarray], shingles: dict[str, np.ndarray]) -> None:
+        self.words, self.shingles = words, shingles
+
+    @staticmethod
+    def _counts(table: dict[str, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+        if not len(table["token"]):
+            return np.zeros(len(hashes), np.int64)
+        out = np.zeros(len(hashes), np.int64)
+        some = np.flatnonzero(table["seen"][hashes >> np.uint64(42)])  # most are none of the table's
+        at = np.minimum(np.searchsorted(table["token"], hashes[some]), len(table["token"]) - 1)
+        out[some] = np.where(table["token"][at] == hashes[some], table["n"][at], 0)
+        return out
+
+    def of_words(self, hashes: np.ndarray) -> np.ndarray:
+        return np.frexp(self._counts(self.words, hashes).astype(float))[1].astype(np.int64)  # the bits of the count
+
+    def of_shingles(self, hashes: np.ndarray, word_ranks: np.ndarray) -> np.ndarray:
+        counts = self._counts(self.shingles, hashes)
+        return np.where(counts > 0, counts + (1 << 40), word_ranks)
+
+
+def _most_frequent(rows: DataFrame, words: int) -> Order:
+    """The words and shingles that come several times in a task's chunk, summed over all: the most frequent of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, CHUNK):
-            values, counts = np.unique(distinct_shingles(batch.column(0), words)[1], return_counts=True)
-            often = counts > 1
-            yield pa.RecordBatch.from_arrays([_longs(values[often]), pa.array(counts[often].astype(np.int64))], ["token", "n"])
-
-    sums = rows.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    found = sums.orderBy(F.desc("n"), "token").limit(HEAVY).toArrow()
-    tokens = found.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(tokens)
-    return tokens[order], found.column("n").to_numpy()[order]
+            hashes, first = all_words(batch.column(0))
+            least = max(2, len(hashes) >> 17)
+            for kind, (values, counts) in enumerate(
+                (np.unique(hashes, return_counts=True), np.unique(distinct_shingles(hashes, first, words)[1], return_counts=True))
+            ):
+                often = counts >= (2 if kind else least)
+                columns = [pa.array(np.full(often.sum(), kind)), _longs(values[often]), pa.array(counts[often].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["kind", "token", "n"])
+
+    sums = rows.select("text").mapInArrow(run, "kind long, token long, n long").groupBy("kind", "token").agg(F.sum("n").alias("n"))
+    sums = store(sums, "jaccard-counts")
+    tables = []
+    for kind in (0, 1):
+        found = sums.where(F.col("kind") == kind).orderBy(F.desc("n"), "token").limit(HEAVY).toArrow()
+        tokens, n = found.column("token").to_numpy().view(np.uint64), found.column("n").to_numpy()
+        order = np.argsort(tokens)
+        seen = np.zeros(1 << 22, bool)
+        seen[tokens >> np.uint64(42)] = True
+        tables.append({"token": tokens[order], "n": n[order], "seen": seen})
+    return Order(*tables)
 
 
 SETS = "has_id boolean, id long, text_hash long, n long, class long, point binary, first array<long>"
 
 
 def _sets(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """Each document with the size and class of its set, its point and its first shingles."""
-    shared = rows.sparkSession.sparkContext.broadcast(_heavy(rows, words))
+    """Each document with the size and class of its set; the first of a class that a task meets also with point and first shingles."""
+    shared = rows.sparkSession.sparkContext.broadcast(_most_frequent(rows, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, often = shared.value
+        order, met = shared.value, set()
         for batch in in_pieces(batches, CHUNK):
-            bounds, hashes = distinct_shingles(batch.column(0), words)
-            counts = np.diff(bounds)
-            rank = np.zeros(len(hashes), np.int64)
-            if len(heavy):
-                at = np.minimum(np.searchsorted(heavy, hashes), len(heavy) - 1)
-                rank = np.where(heavy[at] == hashes, often[at], 0)
-            first = []
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                own, last = hashes[a:b], rank[a:b]
-                if last.any():
-                    own = own[np.argsort(last, kind="stable")]
-                first.append(own[: needed(b - a, percent)] if b > a else own)
-            text = np.repeat(np.arange(len(counts)), counts)
-            group = (hashes >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64)
-            points = np.bincount(text * GROUPS + group, minlength=len(counts) * GROUPS).reshape(-1, GROUPS)
-            wide = points.max(axis=1, initial=0) >= 1 << 16
-            spelt = [p.astype("<u4" if w else "<u2").tobytes() for p, w in zip(points, wide, strict=True)]
-            offsets = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), _longs(np.concatenate(first)))
-            made = [pa.array(counts.astype(np.int64)), pa.array(class_of(bounds, hashes)), pa.array(spelt, pa.binary()), lists]
+            hashes, first = all_words(batch.column(0))
+            bounds, hashes, ranks = distinct_shingles(hashes, first, words, order.of_words(hashes))
+            ranks = order.of_shingles(hashes, ranks)
+            counts, classes = np.diff(bounds), class_of(bounds, hashes)
+            lists, points = [], []
+            for a, b, name in zip(bounds, bounds[1:], classes.tolist(), strict=False):
+                if a == b or name in met:
+                    lists.append(None)
+                    points.append(None)
+                    continue
+                met.add(name)
+                own = hashes[a:b]
+                lists.append(own[np.argsort(ranks[a:b], kind="stable")][: needed(b - a, percent)].view(np.int64))
+                point = np.bincount((own >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
+                points.append(point.astype(next(k for k in _KINDS if point.max() < 256 ** np.dtype(k).itemsize)).tobytes())
+            made = [pa.array(counts), pa.array(classes), pa.array(points, pa.binary()), pa.array(lists, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], [c.split()[0] for c in SETS.split(", ")])
 
     return rows.select("text", "has_id", "id", "text_hash").mapInArrow(run, SETS)
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows, sorted by token, whose token another row has."""
-    held, held_again = None, False
+    """Of the rows, sorted by token and class, one for each class whose token another class has."""
+    held, held_again = None, False  # the last class of the last token, and whether the token has another
     for batch in batches:
         if not batch.num_rows:
             continue
-        token = batch.column("token").to_numpy()
+        token, name = (batch.column(c).to_numpy() for c in ("token", "class"))
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (name[1:] != name[:-1])
+        if held is not None:
+            new[0] = (token[0], name[0]) != (held.column("token")[0].as_py(), held.column("class")[0].as_py())
+        if not new.any():
+            continue
+        batch, token = batch.filter(pa.array(new)), token[new]
         same = np.zeros(len(token) + 1, bool)  # whether row i has the token of the row before it
         same[1:-1] = token[1:] == token[:-1]
         if held is not None:
@@ -148,27 +207,27 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
-def _points(classes: DataFrame) -> DataFrame:
-    """``cell, leaf, class, n, point``: all classes of all different cells, in leaves by size."""
-    parts = partitions(classes)
-    tokens = classes.select("class", "n", F.explode("first").alias("token"))
-    dealt = tokens.repartition(parts, "token").sortWithinPartitions("token")
+def _cells(sets: DataFrame, percent: int) -> DataFrame:
+    """``cell, leaf, class, n``: the classes of all different cells that have one of a near size there, in leaves by size."""
+    tokens = sets.select("class", "n", F.explode("first").alias("token"))
+    dealt = tokens.repartition(partitions(sets), "token").sortWithinPartitions("token", "class")
     met = store(dealt.mapInArrow(_repeated, "class long, n long, token long"), "jaccard-tokens")
     digests = [F.bit_xor(F.xxhash64("class", F.lit(k))).alias(f"digest{k}") for k in (1, 2)]
     lists = met.groupBy("token").agg(F.count("*").alias("members"), *digests)
     cells = store(lists.groupBy("members", "digest1", "digest2").agg(F.min("token").alias("token")).select("token"), "jaccard-cells")
     rows = met.join(cells, "token").select(F.col("token").alias("cell"), "class", "n")
     by_size = Window.partitionBy("cell").orderBy("n", "class")
-    rows = rows.withColumn("leaf", F.floor((F.row_number().over(by_size) - 1) / LEAF).cast("int"))
-    return store(rows.join(classes.select("class", "point"), "class"), "jaccard-points")
+    near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
+    rows = rows.withColumns({"leaf": F.floor((F.row_number().over(by_size) - 1) / LEAF).cast("int"), "near": near})
+    return store(rows.where("near").drop("near"), "jaccard-places")
 
 
 def _corners(column: pa.Array) -> np.ndarray:
-    """The points of some rows; counts of two bytes, of four for the longest texts."""
+    """The points of some rows."""
     spelt = column.to_pylist()
-    if all(len(p) == 2 * GROUPS for p in spelt):
-        return np.frombuffer(b"".join(spelt), "<u2").reshape(-1, GROUPS)
-    return np.array([np.frombuffer(p, "<u2" if len(p) == 2 * GROUPS else "<u4") for p in spelt], np.uint32)
+    if all(len(p) == GROUPS for p in spelt):
+        return np.frombuffer(b"".join(spelt), "u1").reshape(-1, GROUPS)
+    return np.array([np.frombuffer(p, _KINDS[(len(p) // GROUPS).bit_length() - 1]) for p in spelt], np.uint32)
 
 
 def _bounded(left: np.ndarray, right: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
@@ -281,10 +340,9 @@ def _whole_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield joined(held)
 
 
-def _candidates(points: DataFrame, percent: int, next_only: bool) -> DataFrame:
+def _candidates(places: DataFrame, points: DataFrame, percent: int, next_only: bool) -> DataFrame:
     """``u, v``: different pairs of classes with different labels that may be linked; ``u`` is the smaller."""
-    leaves = points.groupBy("cell", "leaf").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    one, two = leaves.alias("one"), leaves.alias("two")
+    leaves = places.groupBy("cell", "leaf").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     if next_only:
         tasks = leaves.select("cell", "leaf", F.col("leaf").alias("one"), F.col("leaf").alias("two"), F.lit(0).alias("side"))
     else:
@@ -303,29 +361,35 @@ def _candidates(points: DataFrame, percent: int, next_only: bool) -> DataFrame:
             yield from tree.next_ones() if next_only else tree.all_pairs()
 
     task = ["cell", "one", "two"]
-    dealt = points.join(tasks, ["cell", "leaf"]).select(*task, "side", "class", "n", "point", "label")
-    dealt = dealt.repartition(partitions(points), *task).sortWithinPartitions(*task)
+    dealt = places.join(tasks, ["cell", "leaf"]).select(*task, "side", "class", "n", "label")
+    dealt = dealt.join(points, "class").select(*task, "side", "class", "n", "point", "label")
+    dealt = dealt.repartition(partitions(places), *task).sortWithinPartitions(*task)
     return dealt.mapInArrow(run, "u long, v long").distinct()
 
 
 def _tokens_of(rows: DataFrame, sets: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """``class, n, tokens`` of the given classes, from the texts whose bit is set, one for each class."""
-    texts = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min("text_hash").alias("text_hash"))
-    bit = F.pmod("text_hash", F.lit(BITS))
-    field = texts.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(text_hash, {BITS}) & 63 AS int))")).alias("bits"))
+    """``class, tokens`` of the given classes, and of some others, from one text of each."""
+    row = F.xxhash64("has_id", "id", "text_hash")
+    some = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min(row).alias("row"))
+    bits = F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(row, {BITS}) & 63 AS int))")).alias("bits")
+    field = some.groupBy(F.expr(f"pmod(row, {BITS}) div 64").alias("at")).agg(bits)
     field = store(field, "jaccard-field")  # at most BITS / 64 rows of 16 bytes
-    marked = rows.join(F.broadcast(field), F.shiftright(bit, 6) == F.col("at"))
-    marked = marked.where(F.expr(f"shiftrightunsigned(bits, cast(pmod(text_hash, {BITS}) & 63 AS int)) & 1L = 1L"))
+    marked = rows.withColumn("row", row).join(F.broadcast(field), F.expr(f"pmod(row, {BITS}) div 64 = at"))
+    marked = marked.where(F.expr(f"shiftrightunsigned(bits, cast(pmod(row, {BITS}) & 63 AS int)) & 1L = 1L"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in in_pieces(batches, CHUNK):
-            bounds, hashes = distinct_shingles(batch.column(0), words)
+            bounds, hashes = sets_of(batch.column(0), words)
+            names = class_of(bounds, hashes)
+            new = np.array([n not in met and not met.add(n) for n in names.tolist()], bool)
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), _longs(hashes))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(class_of(bounds, hashes)), lists], ["text_hash", "class", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(names), lists], ["class", "tokens"]).filter(pa.array(new))
 
-    found = marked.select("text", "text_hash").mapInArrow(run, "text_hash long, class long, tokens array<long>")
-    chosen = store(texts, "jaccard-texts")
-    return store(found.join(chosen, ["class", "text_hash"], "left_semi").dropDuplicates(["class"]).select("class", "tokens"), "jaccard-sets")
+    found = store(marked.select("text").mapInArrow(run, "class long, tokens array<long>"), "jaccard-sets")
+    # Rows that repeat id and text come once from each task; only then are sets shuffled to drop the others.
+    again = found.groupBy("class").count().where("count > 1")
+    return found.dropDuplicates(["class"]) if again.limit(1).count() else found
 
 
 def _verified(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -341,18 +405,19 @@ def _verified(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, pe
 
 def linked_classes(rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """``node, root``: every class that is linked, and the smallest class that can be reached from it."""
-    sized = sets.where("n > 0").select("class", "n", "point", "first")
-    classes = store(sized.dropDuplicates(["class"]), "jaccard-classes")
-    points = _points(classes)
-    tried = store(_candidates(points.withColumn("label", F.col("class")), percent, next_only=True), "jaccard-next")
-    joined = components(_verified(rows, sets, tried, words, percent), "jaccard-joined")
-    labelled = points.join(joined.withColumnsRenamed({"node": "class", "root": "label"}), "class", "left")
+    places = _cells(sets, percent)
+    met = places.select("class").distinct()
+    points = sets.where("point IS NOT NULL").select("class", "point").join(met, "class", "left_semi").dropDuplicates(["class"])
+    points = store(points, "jaccard-points")
+    tried = store(_candidates(places.withColumn("label", F.col("class")), points, percent, next_only=True), "jaccard-next")
+    joined = united(_verified(rows, sets, tried, words, percent), "jaccard-joined")
+    labelled = places.join(joined.withColumnsRenamed({"node": "class", "root": "label"}), "class", "left")
     labelled = store(labelled.withColumn("label", F.coalesce("label", "class")), "jaccard-labelled")
-    mixed_cells = labelled.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("cell")
-    labelled = labelled.join(store(mixed_cells, "jaccard-mixed"), "cell", "left_semi")
-    rest = store(_candidates(labelled, percent, next_only=False).join(tried, ["u", "v"], "left_anti"), "jaccard-rest")
+    several = labelled.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("cell")
+    labelled = store(labelled.join(store(several, "jaccard-several"), "cell", "left_semi"), "jaccard-left")
+    rest = store(_candidates(labelled, points, percent, next_only=False).join(tried, ["u", "v"], "left_anti"), "jaccard-rest")
     links = _verified(rows, sets, rest, words, percent)
-    return components(links.union(joined.select("node", "root")), "jaccard-linked")
+    return united(links.union(joined.select("node", "root")), "jaccard-linked")
 
 
 def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 
 from tandem.llm import jaccard as op
 from tandem.llm import words as w
+from tandem.llm.graph import united
 
 SCHEMA = "doc_id long, text string"
 
@@ -118,9 +119,9 @@ def test_words_and_shingles_of_a_column():
     assert w.as_words(data, parts, starts, ends).cast(pa.large_binary()).to_pylist() == flat
     hashes = w.hash_words(data, starts, ends)
     assert len(set(zip(flat, hashes.tolist(), strict=True))) == len(set(flat)) == len(set(hashes.tolist()))
-    bounds, tokens = op.distinct_shingles(column, 4)
+    bounds, tokens = op.sets_of(column, 4)
     assert np.diff(bounds).tolist() == [len(set_of(t)) for t in texts]
-    sliced = op.distinct_shingles(column.slice(100, 50), 4)[1]
+    sliced = op.sets_of(column.slice(100, 50), 4)[1]
     assert sliced.tolist() == tokens[bounds[100] : bounds[150]].tolist()
     names, classes = [set_of(t) for t in texts], op.class_of(bounds, tokens).tolist()
     assert len(set(zip(names, classes, strict=True))) == len(set(names)) == len(set(classes))
@@ -135,6 +136,18 @@ def test_bound_is_never_below_the_overlap():
         assert np.minimum(*points).sum() >= len(np.intersect1d(*both))
 
 
+def test_the_order_ranks_shingles_of_rare_words_first():
+    hashes = w.mixed(np.arange(1, 9, dtype=np.uint64))
+    table = lambda n: {"token": np.sort(hashes[:3]), "n": n[np.argsort(hashes[:3])], "seen": np.ones(1 << 22, bool)}
+    order = op.Order(table(np.array([1, 7, 1000])), table(np.array([3, 9, 5])))
+    assert order.of_words(hashes).tolist() == [1, 3, 10, 0, 0, 0, 0, 0]
+    ranks = order.of_shingles(hashes, np.arange(8))
+    assert np.argsort(ranks, kind="stable").tolist() == [3, 4, 5, 6, 7, 0, 2, 1]
+    words, first = op.all_words(pa.array(["a b c a b c", "", "a b", "b"]))
+    bounds, _, sums = op.distinct_shingles(words, first, 2, np.array([1, 2, 4, 1, 2, 4, 1, 2, 2]))
+    assert bounds.tolist() == [0, 3, 3, 4, 5] and sorted(sums[:3].tolist()) == [3, 5, 6] and sums[3:].tolist() == [3, 2]
+
+
 def test_pairs_of_runs():
     i, j = op._products(np.array([0, 5]), np.array([2, 1]), np.array([10, 20]), np.array([2, 3]))
     assert list(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 10), (0, 11), (1, 10), (1, 11), (5, 20), (5, 21), (5, 22)]
@@ -142,12 +155,27 @@ def test_pairs_of_runs():
 
 @pytest.mark.parametrize("cuts", [(1,), (2, 3), (7,), (100,)])
 def test_repeated_tokens_across_batches(cuts):
-    tokens = [1, 1, 2, 3, 3, 3, 4, 5, 6, 6]
-    whole = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(tokens)], ["class", "token"])
+    tokens, classes = [1, 1, 2, 2, 3, 3, 3, 4, 6, 6], [0, 1, 2, 2, 4, 5, 5, 7, 8, 9]
+    whole = pa.RecordBatch.from_arrays([pa.array(classes), pa.array(tokens)], ["class", "token"])
     batches, at = [], 0
     while at < 10:
         for c in cuts:
             batches.append(whole.slice(at, c))
             at += c
     kept = [x for b in op._repeated(iter(batches)) for x in b.column("class").to_pylist()]
-    assert sorted(kept) == [0, 1, 3, 4, 5, 8, 9]
+    assert sorted(kept) == [0, 1, 4, 5, 8, 9]
+
+
+@pytest.mark.parametrize("most", [1_000, 40])
+def test_links_united_by_tasks(spark, most):
+    rng = random.Random(6)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]
+    df = spark.createDataFrame(links, "u long, v long")
+    parts = {n: {n} for link in links for n in link if link[0] != link[1]}
+    for u, v in links:
+        if u != v and parts[u] is not parts[v]:
+            parts[u] |= parts[v]
+            for n in parts[v]:
+                parts[n] = parts[u]
+    assert {tuple(r) for r in united(df, "test", most).collect()} == {(n, min(p)) for n, p in parts.items()}
+    assert united(df.where("false"), "test", most).count() == 0
