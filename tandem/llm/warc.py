@@ -13,7 +13,8 @@ bytes between valid records are logged as a gap with the reason: by offset in th
 of the file are held. What follows a place of a member that can't be unpacked is lost up to the next member.
 
 Defined results: a null html is an empty payload; null page ids and addresses leave their header out (a page
-without an id is never referred to); rows that repeat id and payload are all ``response``; an empty table writes no file.
+without an id is never referred to); an address of more than ``LONGEST_URI`` bytes is named by its SHA-1 and stands in the block's HTTP
+headers, since readers bound a record's own; rows that repeat id and payload are all ``response``; an empty table writes no file.
 """
 
 from __future__ import annotations
@@ -39,6 +40,10 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: The date of every record; a given table has none.
 DATE = "2000-01-01T00:00:00Z"
 
+#: Bytes of an address in a record's headers, and of all its headers.
+LONGEST_URI, LONGEST_HEADERS = 1 << 16, 1 << 20
+_LOCATION = re.compile(rb"\r\nContent-Location: ([^\r\n]*)")
+
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _END = b"\r\n\r\n"
 
@@ -90,12 +95,17 @@ def record_bytes(headers: Iterable[tuple[str, str]], block: bytes) -> bytes:
 
 def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
     """A response with its payload, or a revisit without it."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}".encode() + _END
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}".encode()
     headers = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Date", DATE)]
     name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, hashlib.sha1(payload).hexdigest())}>" if page_id is None else page_name(page_id)
     headers += [("WARC-Record-ID", name)]
     if url is not None:
-        headers += [("WARC-Target-URI", re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", url))]
+        uri = re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", url)
+        if len(uri.encode()) > LONGEST_URI:
+            http += b"\r\nContent-Location: " + uri.encode()
+            uri = f"urn:sha1:{hashlib.sha1(uri.encode()).hexdigest()}"
+        headers += [("WARC-Target-URI", uri)]
+    http += _END
     headers += [("WARC-Payload-Digest", sha1_label(payload)), ("WARC-Payload-Length", str(len(payload)))]
     if refers_to is not None:
         headers += [("WARC-Refers-To", page_name(refers_to)), ("WARC-Profile", REVISIT)]
@@ -175,7 +185,7 @@ class Buffer:
 
 def parse_record(buffer: Buffer, start: int) -> Record:
     """The record at the front of the buffer; raises ``Damaged``."""
-    head = buffer.take_until(_END, 1 << 20, "header")
+    head = buffer.take_until(_END, LONGEST_HEADERS, "header")
     line = _VERSION_LINE.match(head)
     if line is None:
         raise Damaged("no version line")
@@ -236,7 +246,7 @@ class _Member:
             before = unpacker.copy()
             try:
                 rest = piece
-                while rest:
+                while rest and not unpacker.eof:
                     out = unpacker.decompress(rest, PIECE)
                     rest, before, piece = unpacker.unconsumed_tail, unpacker.copy(), unpacker.unconsumed_tail
                     if out:
@@ -414,6 +424,15 @@ READ = (
     " payload_bytes long, payload_digest string, refers_to long, payload binary"
 )
 _NAMES = [c.split()[0] for c in READ.split(",")]
+
+
+def _address(record: Record) -> str | None:
+    uri = record.headers.get("warc-target-uri")
+    if uri and uri.startswith("urn:sha1:") and (found := _LOCATION.search(record.block, 0, record.block.find(_END))):
+        return found[1].decode()
+    return uri
+
+
 _PAGE = re.compile(r"<urn:page:(-?\d+)>$")
 
 
@@ -422,9 +441,11 @@ def _page_of(name: str | None) -> int | None:
     return int(found[1]) if found else None
 
 
-def read_archives(manifest: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
+def read_archives(manifest: DataFrame, folder: str, with_payload: bool = False, whole: bool = False) -> DataFrame:
     """A row for each record, and one with a ``reason`` for each gap, of the files that a table names by ``path``.
 
+    If they are to be ``whole``, a gap or a file with another number of records than the table's ``n_records`` fails the job.
+
     ``start`` and ``stop`` are offsets in the file, or, of a gap with a ``member``, in what the gzip member there unpacks to.
 
     Of a revisit the length and digest are those its headers give for the full payload.
@@ -441,7 +462,7 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = False)
         else:
             size, digest = len(payload), hashlib.sha1(payload).hexdigest()
         ids = _page_of(h.get("warc-record-id")), _page_of(h.get("warc-refers-to"))
-        return path, None, item.start, None, None, ids[0], h.get("warc-target-uri"), kind, size, digest, ids[1], payload if with_payload else None
+        return path, None, item.start, None, None, ids[0], _address(item), kind, size, digest, ids[1], payload if with_payload else None
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
         whole = dict.fromkeys(["member", "start", "stop", "page_id", "payload_bytes", "refers_to"], "Int64")
@@ -450,24 +471,30 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = False)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, root = file_system(folder)
         for batch in batches:
-            for path in batch["path"]:
-                size = fs.get_file_info(f"{root}/{path}").size
+            for path, n_records in zip(batch["path"], batch["n_records"], strict=True):
+                size, seen = fs.get_file_info(f"{root}/{path}").size, 0
                 with fs.open_input_file(f"{root}/{path}") as file:
                     rows, held = [], 0
                     for item in salvage(file, size):
+                        if whole and isinstance(item, Gap):
+                            raise Damaged(f"{path}: {'; '.join(item.reasons)}")
+                        seen += isinstance(item, Record)
                         rows.append(row_of(path, item))
                         held += len(rows[-1][-1] or b"")
                         if len(rows) >= 2000 or held > 16 * PIECE:
                             yield frame(rows)
                             rows, held = [], 0
                     yield frame(rows)
+                if whole and seen != n_records:
+                    raise Damaged(f"{path}: {seen} records of {n_records}")
 
+    counts = manifest if whole else manifest.withColumn("n_records", F.lit(-1))
     parallel = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return manifest.select("path").repartition(parallel, "path").mapInPandas(run, READ)
+    return counts.select("path", "n_records").repartition(parallel, "path").mapInPandas(run, READ)
 
 
 def archive_and_read(pages: DataFrame) -> DataFrame:
     """Write all pages, read the archives back, and return what each record says of its page."""
     folder = work_folder(pages.sparkSession, "warc")
-    back = read_archives(write_archives(pages, folder), folder)
-    return back.where("reason is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    back = read_archives(write_archives(pages, folder), folder, whole=True)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

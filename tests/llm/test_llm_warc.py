@@ -124,3 +124,23 @@ def test_version_lines_across_pieces_and_a_long_member(monkeypatch):
     parts = records(5, size=300)
     parts[1] = parts[1][:400] + b"?" + parts[1][401:]
     assert salvaged(W.gzip_member(b"".join(parts)))[0] == [0, 2, 3, 4]
+
+
+def test_long_addresses_and_lost_records(spark, tmp_path):
+    long_url = "http://a.b/" + "é" * 700_000 + "\r\nx"
+    rows = [(1, long_url, "one"), (2, "http://a.b/", "two" * 500), (3, long_url, "two" * 500), (4, "urn:sha1:00", "four")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder = str(tmp_path / "warc")
+    manifest = W.write_archives(pages, folder)
+    found = {r["page_id"]: (r["url"], r["record_type"]) for r in W.read_archives(manifest, folder, whole=True).collect()}
+    kept = long_url.replace("\r\n", "%0D%0A")
+    assert found == {1: (kept, "response"), 2: ("http://a.b/", "revisit"), 3: (kept, "response"), 4: ("urn:sha1:00", "response")}
+    more = manifest.withColumn("n_records", manifest["n_records"] + 1)
+    with pytest.raises(Exception, match="4 records of 5"):
+        W.read_archives(more, folder, whole=True).collect()
+    path = manifest.first()["path"]
+    data = bytearray((tmp_path / "warc" / path).read_bytes())
+    data[len(data) // 2] ^= 255
+    (tmp_path / "warc" / path).write_bytes(data)
+    with pytest.raises(Exception, match=path):
+        W.read_archives(manifest, folder, whole=True).collect()
