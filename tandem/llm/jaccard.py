@@ -13,6 +13,8 @@ shingles of rare words first, by the counts of the most frequent words, and thos
 of both, counted over all documents), so a passage that many documents share makes no crowded cell, unless a document has little
 else. Cells with the same classes are one. The order decides only how much work there is: any counts give the same links.
 
+A pair that meets in several cells is a candidate in the first of them only, which each point knows from the list of its cells.
+
 Groups of near copies. First each point is compared with the next ones of its node only; what these links join has one label, and
 points with one label are not compared again, so a group of thousands costs about as many verified pairs as it has members.
 Leaves are met pair by pair in different tasks, so a crowded cell is spread.
@@ -255,7 +257,8 @@ class Tree:
         tile = points[:, : GROUPS // 2].sum(axis=1, dtype=np.int64) // 8
         order = np.lexsort((classes, n, tile, side, number))
         self.points, self.n, self.classes = points[order], n[order], classes[order]
-        self.label = batch.column("label").to_numpy()[order]
+        self.label, self.cell = (batch.column(c).to_numpy()[order] for c in ("label", "cell"))
+        self.order, self.lists, self.sets = order, batch.column("cells"), {}
         run = 2 * number[order] + side[order]
         begins = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         sizes = np.diff(np.append(begins, len(run)))
@@ -285,8 +288,18 @@ class Tree:
             kept.append((i == j) | _bounded(corner[i], corner[j], low[i] + low[j], self.percent))
         return one[np.concatenate(kept)], two[np.concatenate(kept)]
 
-    def survivors(self, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-        """Those of the pairs of points that have different labels and may be linked."""
+    def _cells_of(self, i: int) -> frozenset:
+        if i not in self.sets:
+            self.sets[i] = frozenset(self.lists[self.order[i]].as_py())
+        return self.sets[i]
+
+    def _first_met(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether no earlier cell holds both points."""
+        pairs = zip(i.tolist(), j.tolist(), self.cell[i].tolist(), strict=True)
+        return np.array([min(self._cells_of(a) & self._cells_of(b)) == cell for a, b, cell in pairs], bool)
+
+    def survivors(self, i: np.ndarray, j: np.ndarray, once: bool) -> pa.RecordBatch:
+        """Those of the pairs of points that have different labels and may be linked; ``once`` over all cells."""
         small, large = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
         ok = (self.label[i] != self.label[j]) & (100 * small >= self.percent * large)
         i, j = i[ok], j[ok]
@@ -295,6 +308,9 @@ class Tree:
             p, q = i[a : a + PAIRS], j[a : a + PAIRS]
             kept.append(_bounded(self.points[p], self.points[q], self.n[p] + self.n[q], self.percent))
         i, j = i[np.concatenate(kept)], j[np.concatenate(kept)]
+        if once:
+            first = self._first_met(i, j)
+            i, j = i[first], j[first]
         a, b = np.minimum(self.classes[i], self.classes[j]), np.maximum(self.classes[i], self.classes[j])
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["u", "v"])
 
@@ -302,7 +318,7 @@ class Tree:
         """Survivors of each point and the next ones of its run."""
         for k in range(1, AHEAD + 1):
             j = np.flatnonzero(self.place >= k)
-            yield self.survivors(j - k, j)
+            yield self.survivors(j - k, j, once=False)
 
     def all_pairs(self) -> Iterator[pa.RecordBatch]:
         """Survivors of all points of all nodes that may hold some."""
@@ -312,7 +328,7 @@ class Tree:
             x, y = one[a : a + step], two[a : a + step]
             i, j = _products(self.first[x], self.size[x], self.first[y], self.size[y])
             once = (np.repeat(x, self.size[x] * self.size[y]) != np.repeat(y, self.size[x] * self.size[y])) | (i < j)
-            yield self.survivors(i[once], j[once])
+            yield self.survivors(i[once], j[once], once=True)
 
 
 def _whole_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,9 +378,10 @@ def _candidates(places: DataFrame, points: DataFrame, percent: int, next_only: b
 
     task = ["cell", "one", "two"]
     dealt = places.join(tasks, ["cell", "leaf"]).select(*task, "side", "class", "n", "label")
-    dealt = dealt.join(points, "class").select(*task, "side", "class", "n", "point", "label")
+    dealt = dealt.join(points, "class").select(*task, "side", "class", "n", "point", "label", "cells")
     dealt = dealt.repartition(partitions(places), *task).sortWithinPartitions(*task)
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    found = dealt.mapInArrow(run, "u long, v long")
+    return found.distinct() if next_only else found
 
 
 def _tokens_of(rows: DataFrame, sets: DataFrame, classes: DataFrame, words: int) -> DataFrame:
@@ -406,9 +423,10 @@ def _verified(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, pe
 def linked_classes(rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """``node, root``: every class that is linked, and the smallest class that can be reached from it."""
     places = _cells(sets, percent)
-    met = places.select("class").distinct()
-    points = sets.where("point IS NOT NULL").select("class", "point").join(met, "class", "left_semi").dropDuplicates(["class"])
-    points = store(points, "jaccard-points")
+    # A class is in one cell for each of its first shingles at most.
+    lists = places.groupBy("class").agg(F.collect_list("cell").alias("cells"))
+    points = sets.where("point IS NOT NULL").select("class", "point").join(lists.select("class"), "class", "left_semi").dropDuplicates(["class"])
+    points = store(points.join(lists, "class"), "jaccard-points")
     tried = store(_candidates(places.withColumn("label", F.col("class")), points, percent, next_only=True), "jaccard-next")
     joined = united(_verified(rows, sets, tried, words, percent), "jaccard-joined")
     labelled = places.join(joined.withColumnsRenamed({"node": "class", "root": "label"}), "class", "left")
