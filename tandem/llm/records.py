@@ -12,9 +12,10 @@ Beside ``part-00007.rec`` lies ``part-00007.idx``: for each record its offset an
 file, 8 bytes each, so a record is reached without reading those before it. Files are written under a name of the
 attempt and then renamed, so a task that is run again leaves the same file.
 
-Texts are encoded with the given tokenizer file. The pre-tokenizer never joins the characters on both sides of a
-line break, or of a space after a non-space, so such pieces are encoded once and remembered; a text with other white
-space is cut only where that holds.
+Texts are encoded with the given tokenizer file. The pre-tokenizer never joins the characters on both sides of a space or
+line break after a non-space, and a byte-level one never those of a letter or digit and a mark after it, so texts are cut there,
+all texts of some megabytes at once; each different piece is encoded once and remembered. A text that holds a special token of the
+tokenizer stays whole.
 
 Defined results: a null or empty text has the end id alone; rows with the same id are ordered by their ids, null
 document ids come first; an empty table writes no file and gives no row.
@@ -26,25 +27,27 @@ import json
 import os
 import re
 import struct
-import sys
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.llm import ordered
+from tandem.llm.words import cut_at, gathered, in_pieces, own_bytes_of, table_of
 from tandem.session import work_folder
 
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<BBq")
 #: Pieces remembered by a worker process, some 110 MB. When they are full, those that came only once are forgotten.
 REMEMBERED = 500_000
+#: Bytes of text that are cut at a time.
+CHUNK = 1 << 22
 
 
 def masked_crc(data: bytes) -> int:
@@ -107,12 +110,48 @@ def _byte_letters(spec: dict) -> dict[int, int] | None:
     return {**{b: b for b in itself}, **{b: 256 + i for i, b in enumerate(others)}}
 
 
+_WHITE = table_of((*range(0x09, 0x0E), *range(0x1C, 0x21)))
+_MARKS = table_of(tuple(b for b in range(0x21, 0x7F) if not chr(b).isalnum()))
+_ALNUM = table_of(tuple(b for b in range(0x21, 0x7F) if chr(b).isalnum()))
+
+
+def _white_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space of any alphabet."""
+    white = _WHITE[data]
+    lead = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    if len(lead):
+        a, b, c = data[lead], data[np.minimum(lead + 1, len(data) - 1)], data[np.minimum(lead + 2, len(data) - 1)]
+        two = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+        general = (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F)
+        three = (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE2) & general | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+        for k, found in ((0, two | three), (1, two | three), (2, three)):
+            white[lead[found] + k] = True
+    return white
+
+
+def piece_starts(data: np.ndarray, at: np.ndarray, marks: bool, whole: np.ndarray) -> np.ndarray:
+    """Where pieces begin whose ids, one after the other, are those of the texts: at each text; before a space or line break after
+    a non-space; after a line break between non-spaces; with ``marks`` before an ASCII mark after a Latin letter or a digit.
+    Texts numbered in ``whole`` are not cut."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    white, begins = _white_space(data), np.zeros(len(data), bool)
+    before = np.concatenate([[True], ~white[:-1]])
+    begins |= before & ((data == 0x20) | (data == 0x0A))
+    begins[2:] |= ~white[2:] & (data[1:-1] == 0x0A) & before[1:-1]
+    if marks:
+        letter = _ALNUM[data]
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        begins[1:] |= _MARKS[data[1:]] & letter[:-1]
+    for i in whole:
+        begins[at[i] : at[i + 1]] = False
+    begins[at[:-1][at[1:] > at[:-1]]] = True
+    return np.flatnonzero(begins)
+
+
 class Pieces:
     """Encodes texts piece by piece; ``width`` bytes a token."""
 
-    #: White space that the pre-tokenizer might take together, at the ends of the text or in runs.
-    _runs = re.compile(r"\s\s|^\s|\s$")
-    _safe_cut = re.compile(r"(?<=\S)(?=[ \n])")
     #: Letters of Latin alphabets with or without a space in front, then ASCII marks without the apostrophe.
     _word_and_marks = re.compile(r"( ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -120,8 +159,10 @@ class Pieces:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.code, self.known, self.again, self.most = "H" if width == 2 else "I", {}, set(), remembered
-        self.letters = _byte_letters(json.loads(self.tokenizer.to_str()))
+        self.dtype, self.known, self.again, self.most = f"<u{width}", {}, set(), remembered
+        spec = json.loads(self.tokenizer.to_str())
+        self.letters = _byte_letters(spec)
+        self.special = [t["content"].encode() for t in spec.get("added_tokens") or []]
 
     def encode(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids by piece. A word, and marks after it, are a step each of a byte-level pre-tokenizer, so they go straight to
@@ -140,32 +181,44 @@ class Pieces:
         return self._bytes([t.id for t in self.tokenizer.model.tokenize(spelt)])
 
     def _bytes(self, ids: list[int]) -> bytes:
-        numbers = array(self.code, ids)
-        if sys.byteorder == "big":
-            numbers.byteswap()
-        return numbers.tobytes()
-
-    @classmethod
-    def cut(cls, text: str) -> list[str]:
-        """Pieces whose ids, one after the other, are those of the text."""
-        plain = not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text) and text.replace("\n", "").isprintable()
-        if not plain and cls._runs.search(text) or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"):
-            return cls._safe_cut.split(text)
-        # Each space stays with the word after it; line breaks stand alone.
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else cls._safe_cut.split(text)
-
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
-        cuts = [self.cut(t) for t in texts]
-        used = set().union(*cuts)
-        new = list(used.difference(self.known))
-        used.difference_update(new)
+        return np.array(ids, self.dtype).tobytes()
+
+    def _whole(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The numbers of the texts that hold a special token."""
+        raw, found = data.tobytes() if self.special else b"", []
+        for token in self.special:
+            place = raw.find(token)
+            while place >= 0:
+                found.append(place)
+                place = raw.find(token, place + 1)
+        return np.unique(np.searchsorted(at, np.array(found, np.int64), side="right") - 1)
+
+    def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where those of each text begin (and the last end)."""
+        data, at = own_bytes_of(texts)
+        starts = piece_starts(data, at, self.letters is not None, self._whole(data, at))
+        if not len(starts):
+            return np.zeros(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
+        coded = cut_at(data, starts).dictionary_encode()
+        ids = self._ids_of(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(self.dtype).itemsize
+        found, begins = gathered(np.frombuffer(b"".join(ids), self.dtype), sizes, coded.indices.to_numpy())
+        return found, begins[np.searchsorted(starts, at)]
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        new = [p for p in pieces if p not in self.known]
+        used = set(pieces).difference(new)
         self.again |= used
         if len(self.known) + len(new) > self.most:
             kept = self.again if len(self.again) < self.most // 2 else used
             self.known, self.again = {p: self.known[p] for p in kept}, set()
         self.known.update(self.encode(new))
-        for pieces in cuts:
-            yield b"".join(map(self.known.__getitem__, pieces))
+        return [self.known[p] for p in pieces]
+
+    def batch(self, texts: list[str]) -> Iterator[bytes]:
+        found, begins = self.tokens(pa.array(texts, pa.large_string()))
+        for a, b in zip(begins, begins[1:], strict=False):
+            yield found[a:b].tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -181,22 +234,20 @@ def encoded(docs: DataFrame, tokenizer_file: str, end_id: int | None, width: int
     """``has_id, id, ids``: the tokens of each text in ``width`` bytes each, with the end id."""
     end = b"" if end_id is None else int(end_id).to_bytes(width, "little")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         pieces = pieces_of(tokenizer_file, width)
-        for batch in batches:
-            # Parts of some 2 million characters, so that what they add to the pieces stays small.
-            part_of = batch["text"].str.len().cumsum() // 2_000_000
-            for _, part in batch.groupby(part_of.astype("int64"), sort=False):
-                ids = [i + end for i in pieces.batch(part["text"].tolist())]
-                yield pd.DataFrame({"has_id": part["has_id"], "id": part["id"], "ids": ids})
+        for batch in in_pieces(batches, CHUNK):
+            found, begins = pieces.tokens(batch.column(0))
+            ids = [found[a:b].tobytes() + end for a, b in zip(begins, begins[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(ids, pa.binary())], ["has_id", "id", "ids"])
 
     rows = docs.select(
         F.col(key).isNotNull().alias("has_id"),
         F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    return rows.mapInPandas(run, ENCODED)
+    return rows.select("text", "has_id", "id").mapInArrow(run, ENCODED)
 
 
 WRITTEN = "part int, path string, n_records long, n_tokens long, n_bytes long"

@@ -44,14 +44,20 @@ def _powers(base: int) -> np.ndarray:
     return _tables[base]
 
 
-def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts with A-Z in lower case, and where each text begins and the last ends; null is empty."""
+def own_bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, and where each text begins and the last ends; null is empty."""
     texts = pc.fill_null(column.cast(pa.large_string()), "")
     _, begins, data = texts.buffers()
     at = np.frombuffer(begins, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if not len(texts) or data is None:
         return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
-    return _LOWER[np.frombuffer(data, np.uint8)[at[0] : at[-1]]], at - at[0]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """As ``own_bytes_of``, with A-Z in lower case."""
+    data, at = own_bytes_of(column)
+    return _LOWER[data], at
 
 
 def table_of(codes: tuple[int, ...]) -> np.ndarray:
@@ -143,3 +149,17 @@ def as_words(data: np.ndarray, parts: np.ndarray, starts: np.ndarray, ends: np.n
     at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=at[1:])
     return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(data[~parts[data]]))
+
+
+def cut_at(data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The parts of the bytes that begin at the given places, the first at 0, as an Arrow column; no part is empty."""
+    at = np.append(starts, len(data)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def gathered(values: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of values, ``sizes`` long and one after the other, in the order ``which``; and where each begins (and the last ends)."""
+    begins = np.cumsum(sizes) - sizes
+    many = sizes[which]
+    at = np.concatenate([[0], np.cumsum(many)])
+    return values[np.arange(at[-1]) + np.repeat(begins[which] - at[:-1], many)], at
