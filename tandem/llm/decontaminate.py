@@ -13,7 +13,8 @@ benchmark's shingles.
 
 Documents pass unshuffled; only counts and verified hits are shuffled. The benchmark's side is broadcast in blocks of
 about ``broadcast_windows`` windows (of at most ``window`` words each, so of a known size): a larger benchmark takes
-more passes, not more memory.
+more passes, not more memory. Which items hold a window is not sent along, since copies of items may make that a long list: a hit
+carries the window's number, and the items meet the different numbers of a document afterwards.
 
 Words: A-Z in lower case, then runs of digits, letters a-z and all characters from U+0080. Defined results: a null
 or empty text has no words and is not contaminated; an item without words has no window; items that share an id count
@@ -45,13 +46,14 @@ def _hash_at(words: str, at: str, n: int) -> Column:
     return F.expr(f"xxhash64({n}, {', '.join(f'get({words}, {at} + {i})' for i in range(n))})")
 
 
-def windows_of(items: DataFrame, window: int) -> DataFrame:
-    """``win, items, n``: each different window once, the ids of its items, and its number of words."""
+def windows_of(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """``win, wid, n``: each different window once, two hashes as its number, and its words; and ``wid, item``, the items it is of."""
     words = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words_of(F.col("text")).alias("w"))
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - window + 1, F.lit(1)))
     cut = F.explode(F.transform(starts, lambda s: F.slice("w", s, window)))
-    windows = words.where(F.size("w") > 0).select("item", cut.alias("win"))
-    return windows.groupBy("win").agg(F.collect_set("item").alias("items")).withColumn("n", F.size("win"))
+    number = F.struct(F.xxhash64("win").alias("a"), F.xxhash64(F.lit(7), "win").alias("b"))
+    windows = words.where(F.size("w") > 0).select("item", cut.alias("win")).withColumn("wid", number)
+    return windows.select("win", "wid").distinct().withColumn("n", F.size("win")), windows.select("wid", "item").distinct()
 
 
 def _tokens(words: DataFrame, size: int, kept: list[str]) -> DataFrame:
@@ -61,24 +63,24 @@ def _tokens(words: DataFrame, size: int, kept: list[str]) -> DataFrame:
 
 
 def prefix_tokens(words: DataFrame, windows: DataFrame, size: int) -> DataFrame:
-    """Per window its rarest shingle in the documents, ties by hash and place: ``win, token, j, items, n``."""
+    """Per window its rarest shingle in the documents, ties by hash and place: ``win, token, j, wid, n``."""
     places = F.explode(F.sequence(F.lit(0), F.col("n") - size))
-    shingles = windows.select("win", "items", "n", places.alias("j")).withColumn("token", _hash_at("win", "j", size))
+    shingles = windows.select("win", "wid", "n", places.alias("j")).withColumn("token", _hash_at("win", "j", size))
     known = shingles.select("token").distinct()
     counts = _tokens(words, size, []).select("token").join(F.broadcast(known), "token").groupBy("token").count()
     # A shingle that no document holds leads to no window, so the window has none.
     ranked = shingles.join(counts, "token", "left").withColumn("count", F.coalesce("count", F.lit(0)))
-    best = F.min_by(F.struct("token", "j", "items", "n", "count"), F.struct("count", "token", "j"))
+    best = F.min_by(F.struct("token", "j", "wid", "n", "count"), F.struct("count", "token", "j"))
     return ranked.groupBy("win").agg(best.alias("b")).select("win", "b.*").where("count > 0").drop("count")
 
 
 def occurrences(words: DataFrame, windows: DataFrame, size: int, kept: list[str]) -> DataFrame:
-    """Verified occurrences of the windows: the kept columns, ``start``, ``n``, ``items``."""
+    """Verified occurrences of the windows: the kept columns, ``start``, ``n``, ``wid``."""
     met = _tokens(words, size, kept).join(F.broadcast(prefix_tokens(words, windows, size)), "token")
     start = F.col("p") - F.col("j")
     bounds = (start >= 0) & (start + F.col("n") <= F.size("_w"))
     exact = F.slice("_w", F.greatest(start, F.lit(0)) + 1, F.col("n")) == F.col("win")
-    return met.where(bounds & exact).select(*kept, start.alias("start"), "n", "items")
+    return met.where(bounds & exact).select(*kept, start.alias("start"), "n", "wid")
 
 
 def contamination(
@@ -95,16 +97,28 @@ def contamination(
     A word is hit inside any occurrence of a window; a document is contaminated if some are and they make at least
     one word in ``share``.
     """
-    words, hits = _hits(docs, items, window, key, text, broadcast_windows)
-    figures = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    return _summed(words, hits, share).select(F.col("_id").alias("doc_id"), *figures)
+    words, hits, named = _hits(docs, items, window, key, text, broadcast_windows)
+    hits = store(hits, "benchmark-hits")
+    of_doc = hits.select("_id", "_h", "wid").distinct().join(named, "wid").groupBy("_id", "_h").agg(F.collect_set("item").alias("items"))
+    of_doc = of_doc.select(F.col("_id").alias("_i"), F.col("_h").alias("_t"), F.sort_array("items").alias("items"))
+    rows = _summed(words, hits, share)
+    joined = rows.join(of_doc, rows["_id"].eqNullSafe(of_doc["_i"]) & (rows["_h"] == of_doc["_t"]), "left")
+    found = F.coalesce("items", F.array().cast("array<string>"))
+    return joined.select(
+        F.col("_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size(found).cast("long").alias("n_items"),
+        F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
 
 
 def without_contaminated(
     docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    words, hits = _hits(docs, items, window, key, text, BROADCAST_WINDOWS)
+    words, hits, _ = _hits(docs, items, window, key, text, BROADCAST_WINDOWS)
     # Stored first, so that Spark knows how few they are and need not shuffle the texts to take them out.
     bad = store(_summed(words, hits, share).where("contaminated").select("_id", "_h").distinct(), "contaminated")
     same = F.col(key).cast("long").eqNullSafe(bad["_id"]) & (_text_hash(text) == bad["_h"])
@@ -115,9 +129,11 @@ def _text_hash(text: str) -> Column:
     return F.xxhash64(F.lit(1), text)
 
 
-def _hits(docs: DataFrame, items: DataFrame, window: int, key: str, text: str, most: int) -> tuple[DataFrame, DataFrame]:
-    """The documents as ``_id, _h, _w`` (id, hash of the text, words), and all occurrences in them."""
-    windows = windows_of(items, window)
+def _hits(
+    docs: DataFrame, items: DataFrame, window: int, key: str, text: str, most: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents as ``_id, _h, _w`` (id, hash of the text, words), all occurrences in them, and the windows' items."""
+    windows, named = windows_of(items, window)
     words = docs.select(
         F.col(key).cast("long").alias("_id"), _text_hash(text).alias("_h"), words_of(F.col(text)).alias("_w")
     )
@@ -125,38 +141,25 @@ def _hits(docs: DataFrame, items: DataFrame, window: int, key: str, text: str, m
     n, sizes = windows.agg(F.count("*"), F.collect_set(F.least("n", F.lit(SHINGLE)))).first()
     blocks = max(1, -(-n // most))
     kept = ["_id", "_h"]
-    found = docs.sparkSession.createDataFrame([], "_id long, _h long, start int, n int, items array<string>")
+    found = docs.sparkSession.createDataFrame([], "_id long, _h long, start int, n int, wid struct<a:long,b:long>")
     for size in sorted(sizes):
         part = windows.where(F.least("n", F.lit(SHINGLE)) == size)
         for block in range(blocks):
             some = part if blocks == 1 else part.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == block)
             found = found.union(occurrences(words, some, size, kept))
-    return words, found
+    return words, found, named
 
 
 def _summed(words: DataFrame, hits: DataFrame, share: int) -> DataFrame:
-    """``_id, _h`` and the figures of each row. A document's spans meet in one row, which its own words bound."""
-    spans = F.array_sort(F.collect_set(F.struct("start", "n")))
-    named = F.array_distinct(F.flatten(F.collect_set("items")))
-    of_doc = hits.groupBy("_id", "_h").agg(spans.alias("spans"), named.alias("items"))
+    """``_id, _h, n_words, n_hit, contaminated`` of each row. A document's spans meet in one row, which its own words bound."""
+    of_doc = hits.groupBy("_id", "_h").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("spans"))
     covered = F.expr(
         "aggregate(spans, named_struct('stop', 0, 'sum', 0L), (a, s) -> named_struct("
         "'stop', greatest(a.stop, s.start + s.n),"
         "'sum', a.sum + greatest(0, s.start + s.n - greatest(a.stop, s.start))), a -> a.sum)"
     )
-    of_doc = of_doc.select(
-        F.col("_id").alias("_i"), F.col("_h").alias("_t"), covered.alias("n_hit"), F.sort_array("items").alias("items")
-    )
+    of_doc = of_doc.select(F.col("_id").alias("_i"), F.col("_h").alias("_t"), covered.alias("n_hit"))
     rows = words.select("_id", "_h", F.size("_w").cast("long").alias("n_words"))
     joined = rows.join(of_doc, rows["_id"].eqNullSafe(of_doc["_i"]) & (rows["_h"] == of_doc["_t"]), "left")
-    items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return joined.select(
-        "_id",
-        "_h",
-        "n_words",
-        n_hit.alias("n_hit"),
-        F.size(items).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-        ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
-    )
+    return joined.select("_id", "_h", "n_words", n_hit.alias("n_hit"), ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))
