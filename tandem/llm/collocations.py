@@ -35,7 +35,7 @@ from tandem.session import store
 BREAKS = tuple(b".,;:!?\x0a\x0b\x0c\x0d")
 SPACES = tuple(b" \t")
 #: Bytes of text that a task sorts at a time.
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 #: Bits of the field of pairs.
 BITS = 1 << 25
 #: Rows that a task sends at a time.
