@@ -5,8 +5,10 @@ A passage is a run of words all of which lie in windows of ``least`` words that
 1. Of all suffixes only those at minimiser positions are kept: in every window of ``least`` words the position whose seed
    (``seed`` words from there) has the smallest hash. The choice depends on the words alone, so equal windows keep
    the same suffix, at the same place in them.
-2. Suffixes whose seed lies in one document only are dropped: seeds are counted with a sum before the shuffle.
-3. Those left are given the words around their seed and sorted, seed by seed. For each way a window can lie around
+2. Suffixes whose seed lies in one document only are dropped: seeds are counted with a sum before the shuffle, and those of several
+   documents set bits of two fields of a fixed size (``BITS``), one for all of them and one for the crowded ones. Bits that two
+   seeds share let some more pass, which the next step drops.
+3. The documents are read again; the suffixes that the field lets pass go with the words around their seed and are sorted, seed by seed. For each way a window can lie around
    a seed, all are sorted by the words they then begin with, and neighbours are compared; equal neighbours of
    different documents extend the match to the left and right as far as that window reaches.
 4. Spans of a document that touch are one passage.
@@ -25,15 +27,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tandem.llm.words import WHITE, bytes_of, find_words, hash_words, in_pieces, table_of
 from tandem.session import store
 
 LEAST, SEED = 50, 25
 CROWD = 100_000
 #: Bytes of a word's hash that go along with a suffix.
 WORD_BYTES = 3
+#: Bits of a field of seeds, and bytes of text that are cut at a time.
+BITS, CHUNK = 1 << 25, 1 << 22
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -63,12 +69,6 @@ def spans_hashed(words: np.ndarray, length: int) -> np.ndarray:
     return _mixed(runs)
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    from xxhash import xxh64_intdigest
-
-    return np.array([xxh64_intdigest(w) for w in (text or "").encode("utf-8", "surrogatepass").lower().split()], np.uint64)
-
-
 def kept_positions(words: np.ndarray, least: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the kept suffixes and the hashes of their seeds; the first of equal hashes is the smallest."""
     if len(words) < least:
@@ -100,55 +100,79 @@ def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.join(again, "doc", "left_anti").unionByName(once)
 
 
+def _kept(batch: pa.RecordBatch, least: int, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Number, words, places and seeds of each text that has some."""
+    data, at = bytes_of(batch.column("text"))
+    starts, ends, first = find_words(data, at, table_of(WHITE))
+    words = hash_words(data, starts, ends)
+    for i, (a, b) in enumerate(zip(first, first[1:], strict=False)):
+        if b - a >= least:
+            yield i, words[a:b], *kept_positions(words[a:b], least, seed)
+
+
 def _suffixes(rows: DataFrame, least: int, seed: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            docs, places, seeds = [], [], []
-            for doc, text in zip(batch["doc"], batch["text"], strict=True):
-                p, h = kept_positions(word_hashes(text), least, seed)
-                docs.append(np.full(len(p), doc, np.int64))
-                places.append(p)
-                seeds.append(h.view(np.int64))
-            if docs:
-                yield pd.DataFrame(
-                    {"doc": np.concatenate(docs), "place": np.concatenate(places).astype(np.int32), "seed": np.concatenate(seeds)}
-                )
+    """``doc, seed`` of every kept suffix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_pieces(batches, CHUNK):
+            kept = [(i, seeds) for i, _, _, seeds in _kept(batch, least, seed)]
+            if kept:
+                docs = batch.column("doc").take(pa.array(np.repeat([i for i, _ in kept], [len(h) for _, h in kept])))
+                yield pa.RecordBatch.from_arrays([docs, pa.array(np.concatenate([h for _, h in kept]).view(np.int64))], ["doc", "seed"])
 
-    return rows.select("doc", "text").mapInPandas(run, "doc long, place int, seed long")
+    return rows.select("text", "doc").mapInArrow(run, "doc long, seed long")
+
+
+def _field(seeds: DataFrame) -> np.ndarray:
+    """The bits of the given seeds: ``BITS`` of them, however many there are."""
+    place = F.pmod("seed", F.lit(BITS))
+    bits = F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(seed, {BITS}) % 32 AS int))"))
+    found = seeds.groupBy(F.floor(place / 32).cast("long").alias("at")).agg(bits.alias("bits")).toArrow()
+    field = np.zeros(-(-BITS // 32), np.uint32)
+    field[found.column("at").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+    return field
 
 
 AROUND = "doc long, has_id boolean, id long, place int, seed long, n_left int, n_right int, words binary"
 
 
-def _with_words(rows: DataFrame, suffixes: DataFrame, least: int, seed: int) -> DataFrame:
-    """Each suffix with the words before and after its seed, ``least - seed`` on both sides, and how many there are."""
+def _with_words(rows: DataFrame, shared: np.ndarray, crowded: np.ndarray, least: int, seed: int, crowds: bool) -> DataFrame:
+    """The suffixes whose seed the field ``shared`` holds (and ``crowded``, or not), with the words before and after it,
+    ``least - seed`` on both sides, and how many there are."""
     side = least - seed
-    lists = suffixes.groupBy("doc").agg(F.collect_list(F.struct("place", "seed")).alias("kept"))
+    fields = rows.sparkSession.sparkContext.broadcast((shared, crowded))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def has(field: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+        at = seeds.view(np.int64) % BITS
+        return (field[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared, crowded = fields.value
         offsets = np.concatenate([np.arange(-side, 0), np.arange(seed, seed + side)])
-        for batch in batches:
-            for doc, has_id, id_, text, kept in batch[["doc", "has_id", "id", "text", "kept"]].itertuples(index=False):
-                words = word_hashes(text)
-                places = np.array([k["place"] for k in kept], np.int64)
+        for batch in in_pieces(batches, CHUNK):
+            texts, columns = [], []
+            for i, words, places, seeds in _kept(batch, least, seed):
+                passing = has(shared, seeds) & (has(crowded, seeds) == crowds)
+                places, seeds = places[passing], seeds[passing]
+                if not len(places):
+                    continue
                 at = places[:, None] + offsets
                 inside = (at >= 0) & (at < len(words))
                 around = np.where(inside, words[np.clip(at, 0, len(words) - 1)], np.uint64(0))
                 raw = np.ascontiguousarray(around).view(np.uint8).reshape(len(places), 2 * side, 8)[:, :, :WORD_BYTES]
-                yield pd.DataFrame(
-                    {
-                        "doc": doc,
-                        "has_id": has_id,
-                        "id": id_,
-                        "place": places.astype(np.int32),
-                        "seed": [k["seed"] for k in kept],
-                        "n_left": inside[:, :side].sum(axis=1).astype(np.int32),
-                        "n_right": inside[:, side:].sum(axis=1).astype(np.int32),
-                        "words": [r.tobytes() for r in raw],
-                    }
-                )
-
-    return rows.join(lists, "doc").select("doc", "has_id", "id", "text", "kept").mapInPandas(run, AROUND)
+                texts.append(np.full(len(places), i))
+                columns.append((places, seeds, inside[:, :side].sum(axis=1), inside[:, side:].sum(axis=1), raw.reshape(len(places), -1)))
+            if not texts:
+                continue
+            which = pa.array(np.concatenate(texts))
+            places, seeds, left, right, raw = (np.concatenate(c) for c in zip(*columns, strict=True))
+            own = [batch.column(c).take(which) for c in ("doc", "has_id", "id")]
+            width = 2 * side * WORD_BYTES
+            flat = pa.Array.from_buffers(pa.binary(width), len(raw), [None, pa.py_buffer(np.ascontiguousarray(raw))]).cast(pa.binary())
+            made = [pa.array(places.astype(np.int32)), pa.array(seeds.view(np.int64)), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), flat]
+            yield pa.RecordBatch.from_arrays([*own, *made], [c.split()[0] for c in AROUND.split(", ")])
+
+    return rows.select("text", "doc", "has_id", "id").mapInArrow(run, AROUND)
 
 
 def _keys(batch: pd.DataFrame, side: int) -> np.ndarray:
@@ -264,14 +288,13 @@ def repeated_passages(
     if not 0 < seed < least:
         raise ValueError("a seed is shorter than a passage")
     rows = _documents(docs, key, text)
-    kept = store(_suffixes(rows, least, seed), "suffixes")
-    many = kept.groupBy("seed").agg(F.count("*").alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b"))
-    kept = kept.join(store(many.where("a <> b").select("seed", "n"), "seeds"), "seed")
-    crowded = kept.where(F.col("n") > crowd)
+    many = _suffixes(rows, least, seed).groupBy("seed").agg(F.count("*").alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b"))
+    many = store(many.where("a <> b").select("seed", "n"), "seeds")
+    shared, crowded = _field(many), _field(many.where(F.col("n") > crowd))
     side = least - seed
-    spans = _by_neighbours(_with_words(rows, kept.where(F.col("n") <= crowd), least, seed), least, side)
-    if crowded.limit(1).count():
-        spans = spans.union(_by_sums(_with_words(rows, crowded, least, seed), least, side))
+    spans = _by_neighbours(_with_words(rows, shared, crowded, least, seed, crowds=False), least, side)
+    if crowded.any():
+        spans = spans.union(_by_sums(_with_words(rows, shared, crowded, least, seed, crowds=True), least, side))
     order = Window.partitionBy("doc").orderBy("start", "stop")
     reached = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("new", (F.col("start") > F.coalesce(reached, F.lit(-1))).cast("int"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tandem.llm import suffixes as S
@@ -93,6 +94,15 @@ def test_rows_that_repeat_id_and_text_are_one_row_before_they_are_joined(spark):
     docs = S._documents(spark.createDataFrame(rows, SCHEMA), "doc_id", "text")
     assert sorted(((r["has_id"], r["id"]) for r in docs.collect())) == [(False, 0), (False, 0), (True, 3), (True, 4), (True, 5)]
     kept = S._suffixes(docs, 50, 25)
-    assert S._with_words(docs, kept, 50, 25).count() == kept.count()
+    every = np.full(S.BITS // 32, 2**32 - 1, np.uint32)
+    assert S._with_words(docs, every, 0 * every, 50, 25, crowds=False).count() == kept.count() > 0
     for crowd in (100_000, 2):
         assert found(spark, rows, crowd=crowd)[0] == brute(rows, 50)
+
+
+def test_a_full_field_of_seeds_changes_nothing(spark, monkeypatch):
+    rows = corpus(4)
+    expected = found(spark, rows, least=5, seed=3)[0]
+    monkeypatch.setattr(S, "BITS", 64)
+    monkeypatch.setattr(S, "CHUNK", 200)
+    assert found(spark, rows, least=5, seed=3)[0] == found(spark, rows, least=5, seed=3, crowd=2)[0] == expected == brute(rows, 5)
