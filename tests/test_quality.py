@@ -213,3 +213,14 @@ def test_checks(table):
     df = table("a string, b int", (None, None), ("x", None), (None, 1))
     assert monitor.empty_rows(df).count() == 1
     assert monitor.empty_rows(df, ignore=["b"]).count() == 2
+
+
+@pytest.mark.parametrize("part", [0])
+def test_rows_are_split_by_their_verdicts_not_by_rules_made_anew(spark, part):
+    """Each form is made once per row: the filter reads the verdict, and no form is copied into it."""
+    key, rules = quality.SOURCE_RULES["AB_PAIEMENT"]
+    columns = [key, *sorted({r.column for r in rules})]
+    rows = spark.range(10).select(*(F.col("id").cast("string").alias(c) for c in columns))
+    plan = quality.split_rejected(quality.check_rows(rows, rules))[part]._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "trim(" in line]
+    assert plan.count("as timestamp_ntz)") == 1
