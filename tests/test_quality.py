@@ -215,7 +215,7 @@ def test_checks(table):
     assert monitor.empty_rows(df, ignore=["b"]).count() == 2
 
 
-@pytest.mark.parametrize("part", [0])
+@pytest.mark.parametrize("part", [0, 1])
 def test_rows_are_split_by_their_verdicts_not_by_rules_made_anew(spark, part):
     """Each form is made once per row: the filter reads the verdict, and no form is copied into it."""
     key, rules = quality.SOURCE_RULES["AB_PAIEMENT"]
