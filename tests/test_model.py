@@ -137,3 +137,14 @@ def test_empty_leaf_scores_zero_and_limits_go_left(table):
     ]
     df = trees.add_score(table("a double", (2.5,), (2.6,)), nodes, ["a"])
     assert rows(df) == [(2.5, 0.75, 1), (2.6, 0.0, 0)]
+
+
+@pytest.mark.parametrize("name", ["model_checks"])
+def test_one_query_derives_the_claim_dataset_once(spark, monkeypatch, name):
+    """Fit, check and prediction read one stored dataset; deriving it is by far the longest step."""
+    from tandem.workload import queries
+
+    derived, derive = [], queries.claims_dataset
+    monkeypatch.setattr(queries, "claims_dataset", lambda *given: derived.append(given) or derive(*given))
+    plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(derived) == 1 and "lineitem" not in plan and "Join" not in plan
