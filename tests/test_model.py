@@ -139,7 +139,7 @@ def test_empty_leaf_scores_zero_and_limits_go_left(table):
     assert rows(df) == [(2.5, 0.75, 1), (2.6, 0.0, 0)]
 
 
-@pytest.mark.parametrize("name", ["model_checks"])
+@pytest.mark.parametrize("name", ["model_checks", "tree_parity", "model_predictions"])
 def test_one_query_derives_the_claim_dataset_once(spark, monkeypatch, name):
     """Fit, check and prediction read one stored dataset; deriving it is by far the longest step."""
     from tandem.workload import queries
