@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tandem.functions.messages import CORRUPT
 from tandem.operators.monitor import parse_status_log
@@ -91,6 +91,13 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _in_one_line(value: Column) -> Column:
+    """Each line break as one space, by plain searches: a pattern would be tried at every character."""
+    for line_break in ("\r\n", "\r", "\n"):
+        value = F.replace(value, F.lit(line_break), F.lit(" "))
+    return value
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ";", keep_line_breaks: bool = False) -> None:
     """Delimited files with a header and every field quoted, replacing what is there.
 
@@ -99,7 +106,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", keep_line_breaks:
     """
     if not keep_line_breaks:
         texts = {c for c, kind in df.dtypes if kind == "string"}
-        df = df.select(*(F.regexp_replace(f"`{c}`", r"\r\n|\r|\n", " ").alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns))
+        df = df.select(*((_in_one_line(F.col(f"`{c}`")) if c in texts else F.col(f"`{c}`")).alias(c) for c in df.columns))
     df.write.mode("overwrite").csv(path, sep=sep, header=True, quoteAll=True, encoding="UTF-8", **_QUOTING)
 
 

@@ -237,3 +237,15 @@ def test_readers_can_be_sent_back_to_an_older_version(spark, tmp_path):
     landing.switch_to(spark, "clients", root, 2)
     landing.switch_to(spark, "contrats", root, 9)
     assert landing.active_path(spark, "clients", root).endswith("/clients/v2")
+
+
+def test_line_breaks_become_spaces_without_a_pattern(spark):
+    """Each break is one space, as by the pattern; none is tried at every character of every value."""
+    from tandem.sources.files import _in_one_line
+
+    texts = ["a\r\nb", "a\r\r\nb\n", "\n\r", "a\n\nb", "", None, "plain"]
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    pattern = F.regexp_replace("t", r"\r\n|\r|\n", " ")
+    found = table.select(_in_one_line(F.col("t")).alias("new"), pattern.alias("old"))
+    assert all(r.new == r.old for r in found.collect())
+    assert "regexp" not in table.select(_in_one_line(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
