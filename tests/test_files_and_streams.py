@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import glob
+import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -14,6 +16,7 @@ from tandem.operators.summaries import count_tables
 from tandem.session import shared_folder, store, work_folder
 from tandem.sources import files
 from tandem.streaming import landing, topics
+from tandem.workload.queries import QUERIES
 
 SCHEMA = T.StructType([
     T.StructField("id", T.IntegerType()), T.StructField("nom", T.StringType()), T.StructField("jour", T.DateType()),
@@ -249,3 +252,31 @@ def test_line_breaks_become_spaces_without_a_pattern(spark):
     found = table.select(_in_one_line(F.col("t")).alias("new"), pattern.alias("old"))
     assert all(r.new == r.old for r in found.collect())
     assert "regexp" not in table.select(_in_one_line(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landing_keeps_both_folders_open_in_a_session_without_the_setting(spark, topic, tmp_path):
+    """Otherwise each task sorts its rows by folder before it writes them."""
+    send, stream = topic
+    send(payment(1), payment(2), payment(3, ""))
+    before = spark.conf.get(landing.WRITERS)
+    try:
+        for given, kept in (("0", "8"), ("3", "3")):
+            spark.conf.set(landing.WRITERS, given)
+            land(stream(), tmp_path / given)
+            assert spark.conf.get(landing.WRITERS) == kept
+            assert landing.read_landed(spark, "paiements", f"{tmp_path}/{given}/data").count() == 2
+    finally:
+        spark.conf.set(landing.WRITERS, before)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="given tables not present")
+def test_the_topics_of_all_tables_are_landed_side_by_side(spark, monkeypatch):
+    met, start = threading.Barrier(4), landing.land_topic
+
+    def land_together(*args, **kw):
+        met.wait(120)
+        return start(*args, **kw)
+
+    monkeypatch.setattr(landing, "land_topic", land_together)
+    got = QUERIES["landed_tables"](spark, "/root/testdata/sf0.001")
+    assert {r["table"] for r in got.select("table").distinct().collect()} == {"clients", "contrats", "paiements", "sinistres"}
