@@ -224,3 +224,15 @@ def test_rows_are_split_by_their_verdicts_not_by_rules_made_anew(spark, part):
     plan = quality.split_rejected(quality.check_rows(rows, rules))[part]._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Filter" in line and "trim(" in line]
     assert plan.count("as timestamp_ntz)") == 1
+
+
+def test_rejecting_rules_are_judged_before_the_forms_of_other_rules(spark):
+    """The filter on the verdict that rejects stands before the forms that only corrections and flags read."""
+    key, rules = quality.SOURCE_RULES["AB_CLIENT"]
+    columns = [key, *sorted({r.column for r in rules})]
+    data = spark.range(10).select(*(F.col("id").cast("string").alias(c) for c in columns))
+    for part in quality.split_rejected(quality.check_rows(data, rules)):
+        plan = part._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        verdict = next(i for i, line in enumerate(plan) if "Filter" in line and REJECT in line)
+        phones = [i for i, line in enumerate(plan) if "AS _phone_" in line or "_phone_ab_telephone, " in line]
+        assert phones and max(phones) < verdict
